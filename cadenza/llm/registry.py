@@ -1,7 +1,19 @@
 """Queries of the corpus operators, and SQL where SQL can express them."""
 
+from cadenza.llm.chat import OP2_SQL, op2_chat_format
+from cadenza.llm.langid import op3_language_id
+from cadenza.llm.mixing import op8_mixing
 from cadenza.llm.ngram_join import OP1_SQL, op1_ngram_jaccard_join
+from cadenza.llm.secrets import OP9_SQL, op9_secret_scan
+from cadenza.llm.simhash import op5_simhash
 
-QUERIES = {"op1_ngram_jaccard_join": op1_ngram_jaccard_join}
+QUERIES = {
+    "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
+    "op2_chat_format": op2_chat_format,
+    "op3_language_id": op3_language_id,
+    "op5_simhash": op5_simhash,
+    "op8_mixing": op8_mixing,
+    "op9_secret_scan": op9_secret_scan,
+}
 
-ORACLES = {"op1_ngram_jaccard_join": OP1_SQL}
+ORACLES = {"op1_ngram_jaccard_join": OP1_SQL, "op2_chat_format": OP2_SQL, "op9_secret_scan": OP9_SQL}
