@@ -271,6 +271,17 @@ def jaccard_components(docs: DataFrame, size: int = 5, num: int = 8, den: int =
     return sketched.join(found.withColumnRenamed("id", "doc_id"), "doc_id", "left").select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.coalesce("label", "doc_id")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
+def near_duplicate_stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps one document of each class of near duplicates (five words, 0.8): the one with the smallest doc_id, one row of it."""
+    found = jaccard_components(docs, size=5, num=8, den=10)
+    gone = found.where("component_id <> doc_id").select("doc_id").distinct()
+    kept = docs.join(gone, "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    if docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").limit(1).count():
+        # rows without a doc_id are no copies of each other
+        kept = kept.where("doc_id is null").unionByName(kept.where("doc_id is not null").dropDuplicates(["doc_id"]))
+    return kept
+
+
 def op1_ngram_jaccard_join(spark, sf_dir: str) -> DataFrame:
     """Word 3-shingles, Jaccard of 0.9 or more, over all documents."""
     from cadenza.llm.frames import table
