@@ -25,6 +25,8 @@ def measured(rows: DataFrame, quality: dict, staging: str | None = None, place=N
         from cadenza.sources import wav
 
         for frame in frames:
+            if frame.empty:
+                continue
             out = []
             for row in frame.to_dict("records"):
                 facts = {c: row[c] for c in columns}

@@ -36,6 +36,8 @@ def scored(rows: DataFrame, tiers=NORMALIZERS, steps: bool = False) -> DataFrame
 
     def each(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
+            if frame.empty:
+                continue
             for tier, normalize in functions.items():
                 out = frame.copy()
                 out["tier"] = tier
