@@ -35,7 +35,7 @@ from cadenza.llm.langid import remainder
 from cadenza.llm.ngram_join import pieces
 from cadenza.llm.textkit import Words, mixed
 
-DEPTH, CONTEXTS, HEAVY = 5, 1 << 16, 1 << 22
+DEPTH, CONTEXTS, HEAVY = 5, 1 << 15, 1 << 22
 END = 0x0A
 #: The hash of the end token; no word hashes through it but by chance.
 END_HASH = int(mixed(np.array([0xE0D], np.uint64)).view(np.int64)[0])
@@ -157,11 +157,14 @@ def _decisions(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(zero, axis=1), np.concatenate(one, axis=1)
 
 
-def _kt(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(log of the Krichevsky-Trofimov probability of the counts, probability of a 1 next)."""
-    zero, one = _decisions(counts)
-    log = _log_gamma(zero + 0.5) + _log_gamma(one + 0.5) - _log_gamma(zero + one + 1.0) - np.log(np.pi)
-    return log, (one + 0.5) / (zero + one + 1.0)
+def _kt(counts: np.ndarray, step: int = 1024) -> tuple[np.ndarray, np.ndarray]:
+    """(log of the Krichevsky-Trofimov probability of the counts, probability of a 1 next); in slices, to bound memory."""
+    log, ones = np.empty((len(counts), 255)), np.empty((len(counts), 255), np.float32)
+    for lo in range(0, len(counts), step):
+        zero, one = _decisions(counts[lo : lo + step].astype(np.float64))
+        log[lo : lo + step] = _log_gamma(zero + 0.5) + _log_gamma(one + 0.5) - _log_gamma(zero + one + 1.0) - np.log(np.pi)
+        ones[lo : lo + step] = (one + 0.5) / (zero + one + 1.0)
+    return log, ones
 
 
 class Tree:
@@ -179,60 +182,63 @@ class Tree:
             inner[d] = np.zeros(len(rows[d][0]), bool)
             inner[d][parents[d + 1]] = True
         inner[depth] = np.zeros(len(rows[depth][0]), bool)
-        # Bottom up: weighted probabilities.
-        weighted, own, remainders = {}, {}, {}
+        # Bottom up: weighted probabilities. Logarithms need 64 bits, probabilities are kept in 32.
+        below = None
+        own, remainders, kept = {}, {}, {}
         for d in range(depth, -1, -1):
-            log, ones = _kt(rows[d][1])
-            total = log.copy()
+            total, kept[d] = _kt(rows[d][1])
             if d < depth and inner[d].any():
+                at = np.flatnonzero(inner[d])
                 rest = rows[d][1].copy()
                 np.subtract.at(rest, parents[d + 1], rows[d + 1][1])
-                rest_log, rest_ones = _kt(rest)
-                children = rest_log.copy()
-                np.add.at(children, parents[d + 1], weighted[d + 1])
-                total[inner[d]] = np.logaddexp(log[inner[d]], children[inner[d]]) - np.log(2)
-                remainders[d] = rest_ones
-                own[d] = np.exp(log - np.log(2) - total)
-            weighted[d] = total
-            rows[d] = (*rows[d], ones)
+                children, remainders[d] = _kt(rest[at])
+                np.add.at(children, np.searchsorted(at, parents[d + 1]), below)
+                mixture = np.logaddexp(total[at], children) - np.log(2)
+                own[d] = np.exp(total[at] - np.log(2) - mixture).astype(np.float32)
+                total[at] = mixture
+            below = total
+        del below, total
         # Top down: the mixture along each path.
         offset = np.cumsum([0] + [int(inner[d].sum()) for d in range(depth + 1)])
         self.step = np.zeros((max(int(offset[-1]), 1), 256), np.int32)
         terminal: list[np.ndarray] = []
         count = 0
-        sums, weight = {0: np.zeros((len(rows[0][0]), 255))}, {0: np.ones((len(rows[0][0]), 255))}
+        sums, weight = np.zeros((len(rows[0][0]), 255), np.float32), np.ones((len(rows[0][0]), 255), np.float32)
         place = {d: np.where(inner[d], offset[d] + np.cumsum(inner[d]) - 1, 0) for d in range(depth + 1)}
         for d in range(depth + 1):
-            ones = rows[d][2]
-            leaf = ~inner[d]
-            terminal.append(sums[d][leaf] + weight[d][leaf] * ones[leaf])
+            ones, leaf, at = kept.pop(d), ~inner[d], np.flatnonzero(inner[d])
+            terminal.append(sums[leaf] + weight[leaf] * ones[leaf])
             codes = np.zeros(len(leaf), np.int64)
             codes[leaf] = -1 - (count + np.arange(int(leaf.sum())))
-            codes[inner[d]] = place[d][inner[d]]
+            codes[at] = place[d][at]
             count += int(leaf.sum())
             if d:
                 self.step[place[d - 1][parents[d]], (rows[d][0] >> np.uint64(8 * (d - 1))).astype(np.int64)] = codes
-            if d < depth and inner[d].any():
-                share = own[d]
-                below_sum, below_weight = sums[d] + weight[d] * share * ones, weight[d] * (1 - share)
-                terminal.append((below_sum + below_weight * remainders[d])[inner[d]])
-                codes = -1 - (count + np.arange(int(inner[d].sum())))
-                count += len(codes)
-                self.step[place[d][inner[d]]] = codes[:, None]  # until the contexts below take their places
-                sums[d + 1], weight[d + 1] = below_sum[parents[d + 1]], below_weight[parents[d + 1]]
-            elif d < depth:
-                sums[d + 1], weight[d + 1] = np.zeros((0, 255)), np.zeros((0, 255))
+            if d == depth:
+                break
+            if len(at):
+                share = own.pop(d)
+                below_sum, below_weight = sums[at] + weight[at] * share * ones[at], weight[at] * (1 - share)
+                terminal.append(below_sum + below_weight * remainders.pop(d))
+                self.step[place[d][at]] = (-1 - (count + np.arange(len(at))))[:, None]  # until the contexts below take their places
+                count += len(at)
+                up = np.searchsorted(at, parents[d + 1])
+                sums, weight = below_sum[up], below_weight[up]
+            else:
+                sums, weight = np.zeros((0, 255), np.float32), np.zeros((0, 255), np.float32)
         self.root_is_leaf = not inner[0].any()
-        ones = np.concatenate(terminal)
-        logs = np.zeros((len(ones), 256), np.float32)
-        for lo in range(0, len(ones), 4096):
-            part = ones[lo : lo + 4096]
+        logs = np.zeros((count, 256), np.float32)
+        slices = [(p, lo) for p in terminal for lo in range(0, len(p), 4096)]
+        at = 0
+        for whole, lo in slices:
+            part = whole[lo : lo + 4096].astype(np.float64)
             total = np.zeros((len(part), 256))
             for bit in range(8):
                 nodes = (1 << bit) - 1 + (np.arange(256) >> (8 - bit))
                 p = part[:, nodes]
                 total += np.log10(np.where((np.arange(256) >> (7 - bit)) & 1, p, 1 - p))
-            logs[lo : lo + 4096] = total
+            logs[at : at + len(part)] = total
+            at += len(part)
         self.logs = logs
 
     def scored(self, data: np.ndarray, mask: np.ndarray) -> np.ndarray:
@@ -283,13 +289,14 @@ def grown(grams: DataFrame, total: int, depth: int = DEPTH, contexts: int = CONT
     context = F.shiftright("k", 8).alias("c")
     # At least one in `contexts` of all bytes: at most `contexts` rows a depth.
     kept = by.groupBy("d", context).agg(F.sum("n").alias("m")).where(F.col("m") * contexts >= total).select("d", "c")
-    rows = by.select("d", context, F.col("k").bitwiseAND(255).alias("b"), "n").join(F.broadcast(kept), ["d", "c"]).toPandas()
+    rows = by.select("d", context, F.col("k").bitwiseAND(255).alias("b"), "n").join(F.broadcast(kept), ["d", "c"]).select("d", "c", "b", "n").toArrow()
+    depths, contexts_of, following, counted = (rows[c].to_numpy() for c in ("d", "c", "b", "n"))
     out = {}
     for d in range(depth + 1):
-        own = rows[rows["d"] == d]
-        found, at = np.unique(own["c"].to_numpy(np.int64), return_inverse=True)
+        own = depths == d
+        found, at = np.unique(contexts_of[own], return_inverse=True)
         counts = np.zeros((len(found), 256))
-        counts[at, own["b"].to_numpy(np.int64)] = own["n"].to_numpy(float)
+        counts[at, following[own]] = counted[own]
         out[d] = (found.astype(np.uint64), counts)
     return Tree(depth, out)
 
@@ -310,9 +317,9 @@ def scored(docs: DataFrame, learn: str = "not held_out", depth: int = DEPTH, con
     total = int(summary[1]["n"]) if 1 in summary else 0
     tree = grown(counts.where("kind = 1"), total, depth, contexts)
     tokens = counts.where("kind = 0").select("key", "n")
-    common = tokens.where(F.col("n") * heavy >= n).toPandas().sort_values("key")
+    common = tokens.where(F.col("n") * heavy >= n).sort("key").toArrow()
     end = tokens.where(F.col("key") == END_HASH).first()
-    model = spark.sparkContext.broadcast((tree, common["key"].to_numpy(np.int64), np.log10(common["n"].to_numpy(float) + 1)))
+    model = spark.sparkContext.broadcast((tree, common["key"].to_numpy(), np.log10(common["n"].to_numpy() + 1.0)))
     parts = docs.mapInArrow(partial(_score, model=model, depth=depth), "doc_id long, held_out boolean, n_tokens long, n_bytes long, score double, part double, known long, rare array<long>")
     parts = written(parts, "scored").withColumn("row", F.monotonically_increasing_id())
     seldom = parts.select("row", F.explode("rare").alias("key")).join(tokens, "key")
