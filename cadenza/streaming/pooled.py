@@ -27,3 +27,11 @@ def pooled_stream(rows: DataFrame, keys: tuple[str, ...] = ("split",)) -> DataFr
 def windowed_counts(events: DataFrame, width: str = "1 hour", late: str = "10 minutes") -> DataFrame:
     """Events and their values by type and tumbling window of event time; rows later than ``late`` are left out of closed windows."""
     return events.withWatermark("ts", late).groupBy(F.window("ts", width).alias("w"), "event_type").agg(F.count("*").alias("events"), F.sum("value").alias("total")).select(F.col("w.start").alias("window_start"), "event_type", "events", "total")
+
+
+def finished(stream: DataFrame, checkpoint: str, mode: str = "complete") -> DataFrame:
+    """Runs a stream over all input that is there, then stops; the final state of its in-memory sink, for aggregates of bounded size."""
+    name = "stream_" + checkpoint.replace("/", "_").replace("-", "_").replace(":", "_").replace(".", "_")
+    writing = stream.writeStream.outputMode(mode).format("memory").queryName(name).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    writing.awaitTermination()
+    return stream.sparkSession.table(name)
