@@ -58,39 +58,27 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 class Buckets:
-    """Order-preserving buckets of a numeric key, even for clustered keys.
+    """Order-preserving buckets of a long key with about equally many rows, however the keys are spread.
 
-    The key range is cut into ``cells`` cells of equal width; a cell with more
-    rows than the mean is cut further in proportion to its rows. Only the cell
-    counts (at most ``cells`` rows) come to the driver.
+    Bounds are approximate percentiles (at most ``cells`` numbers on the driver);
+    a row finds its bucket by binary search.
     """
 
     def __init__(self, df: DataFrame, key: str, cells: int = 2048):
-        x = F.col(key).cast("double")
-        low, high, rows = df.agg(F.min(x), F.max(x), F.count(key)).first()
-        self.key, self.cells = key, cells
-        self.low = low if low is not None else 0.0
-        self.width = max((high - low) / cells, 1e-9) if rows else 1.0
-        self.width *= 1 + 1e-12
-        counts = {r[0]: r[1] for r in df.where(F.col(key).isNotNull()).groupBy(self._cell().alias("cell")).count().collect()}
-        mean = max(1.0, rows / cells)
-        self.parts = [max(1, min(4096, round(counts.get(c, 0) / (2 * mean)))) for c in range(cells)]
-        self.base = [0]
-        for p in self.parts:
-            self.base.append(self.base[-1] + p)
-
-    def _cell(self) -> Column:
-        x = F.col(self.key).cast("double")
-        return F.least(F.lit(self.cells - 1), F.greatest(F.lit(0), F.floor((x - F.lit(self.low)) / F.lit(self.width)).cast("int")))
+        self.key = key
+        shares = [i / cells for i in range(1, cells)]
+        found = df.agg(F.percentile_approx(F.col(key).cast("long"), shares, 16 * cells)).first()[0]
+        self.bounds = sorted(set(found or []))
 
     def column(self) -> Column:
         """Bucket number, ascending with the key; -1 for a null key."""
-        cell, x = self._cell(), F.col(self.key).cast("double")
-        if max(self.parts) == 1:
-            return F.coalesce(cell, F.lit(-1))
-        parts = F.element_at(F.lit(self.parts), cell + 1)
-        inside = F.floor((x - F.lit(self.low) - cell * F.lit(self.width)) * parts / F.lit(self.width)).cast("int")
-        return F.coalesce(F.element_at(F.lit(self.base[:-1]), cell + 1) + F.least(parts - 1, F.greatest(F.lit(0), inside)), F.lit(-1))
+        x = F.col(self.key).cast("long")
+        if not self.bounds:
+            return F.when(x.isNull(), -1).otherwise(0)
+        bounds, n = F.lit(self.bounds), len(self.bounds)
+        steps = F.lit([1 << k for k in range(n.bit_length() - 1, -1, -1)])
+        step = lambda acc, s: F.when((acc + s <= n) & (F.get(bounds, acc + s - 1) <= x), acc + s).otherwise(acc)
+        return F.when(x.isNull(), -1).otherwise(F.aggregate(steps, F.lit(0), step))
 
 
 def components(edges: DataFrame, within: list[str], rounds: int = 60) -> DataFrame:

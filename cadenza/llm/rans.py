@@ -121,8 +121,15 @@ class Coder:
         return self.symbols[out]
 
 
-def _word_encoder(path: str):
-    """Text -> ids. The library encodes each distinct pre-token once; by its byte-level rule pre-tokens are encoded independently."""
+def byte_letters() -> dict[int, str]:
+    """The byte-level alphabet: printable Latin-1 stands for itself, the other bytes follow from U+0100 in order."""
+    plain = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    others = iter(range(0x100, 0x200))
+    return {b: chr(b) if b in plain else chr(next(others)) for b in range(256)}
+
+
+def word_encoder(path: str):
+    """Text -> ids of a byte-level BPE file. The library's model codes each distinct pre-token once, for pre-tokens are coded independently."""
     import os
 
     import regex
@@ -130,13 +137,16 @@ def _word_encoder(path: str):
 
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     tokenizer = Tokenizer.from_file(path)
+    coded = tokenizer.model.tokenize
+    letters = byte_letters()
     # The library's own byte-level pattern (GPT-2's, fixed).
     pattern = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
-    special = regex.compile("|".join(map(regex.escape, (t.content for t in tokenizer.get_added_tokens_decoder().values()))) or r"(?!)")
+    added = [regex.escape(t.content) for t in tokenizer.get_added_tokens_decoder().values()]
+    special = regex.compile("|".join(added) or r"(?!)")
 
     class Known(dict):
         def __missing__(self, word: str) -> list[int]:
-            ids = tokenizer.encode(word, add_special_tokens=False).ids
+            ids = [t.id for t in coded(word.encode().decode("latin-1").translate(letters))]
             if len(self) >= REMEMBERED:
                 self.clear()
             if len(word) <= 64:
@@ -163,7 +173,7 @@ def _tokenize(batches: Iterator[pa.RecordBatch], path: str | None, end: int) ->
         import public_tokenizers
 
         path = public_tokenizers.path("byte_bpe_50k.json")
-    encode = own._word_encoder(path)
+    encode = own.word_encoder(path)
     for batch in own.pieces(batches, 4 << 20):
         ids = []
         for text in batch.column("text").to_pylist():
