@@ -14,6 +14,8 @@ decoding order, little-endian.
 
 from __future__ import annotations
 
+import sys
+import types
 import zlib
 from collections.abc import Iterator
 from functools import partial
@@ -26,12 +28,12 @@ from pyspark.sql import functions as F
 from cadenza.llm.frames import Buckets, new_path, table, written
 from cadenza.llm.ngram_join import pieces
 
-SCALE, BLOCK, LANES = 24, 1 << 16, 1 << 10
+SCALE, BLOCK, LANES = 20, 1 << 16, 1 << 11
 LOW = 1 << 31
 #: Ids of a chunk, about; a longer document is a chunk of many blocks.
 CHUNK = 1 << 19
-#: Distinct pre-tokens that a task remembers.
-REMEMBERED = 500_000
+#: Distinct pre-tokens that a worker remembers.
+REMEMBERED = 450_000
 
 CHUNKS = "bucket int, part int, first_id long, docs binary, lengths binary, payload binary, offsets binary, counts binary, checks binary"
 
@@ -60,13 +62,9 @@ class Coder:
         self.symbols = symbols
         self.freq = freqs.astype(np.uint64)
         self.start = np.concatenate(([0], np.cumsum(freqs)[:-1])).astype(np.uint64) if len(freqs) else self.freq
-        self.ends = np.cumsum(freqs)
         self.index = np.zeros(int(symbols[-1]) + 1 if len(symbols) else 1, np.int64)
         self.index[symbols] = np.arange(len(symbols))
-        # The symbol of a slot: a coarse table of the slot's high bits, then a few steps up.
-        self.coarse = 8
-        heads = np.arange(0, (1 << scale), 1 << self.coarse)
-        self.guess = np.searchsorted(self.ends, heads, side="right").astype(np.int64)
+        self.slots = np.repeat(np.arange(len(freqs), dtype=np.int32), freqs)
 
     def encode(self, ids: np.ndarray) -> bytes:
         lanes = min(LANES, max(1, len(ids)))
@@ -88,18 +86,6 @@ class Coder:
             state[: len(now)] = (times << self.scale) + rest + self.start[now]
         return state.astype("<u8").tobytes() + b"".join(w.tobytes() for w in reversed(words))
 
-    def symbol_of(self, slot: np.ndarray) -> np.ndarray:
-        at = self.guess[slot >> self.coarse]
-        while True:
-            beyond = slot >= self.ends[at]
-            if not beyond.any():
-                return at
-            low = np.flatnonzero(beyond)
-            if len(low) * 8 < len(slot):
-                at[low] = np.searchsorted(self.ends, slot[low], side="right")
-                return at
-            at += beyond
-
     def decode(self, block: bytes, count: int) -> np.ndarray:
         lanes = min(LANES, max(1, count))
         state = np.frombuffer(block, "<u8", lanes).astype(np.uint64)
@@ -109,7 +95,7 @@ class Coder:
         for lo in range(0, count, lanes):
             live = state[: min(lanes, count - lo)]
             slot = live & mask
-            found = self.symbol_of(slot.astype(np.int64))
+            found = self.slots[slot.astype(np.int64)]
             out[lo : lo + len(live)] = found
             live = self.freq[found] * (live >> self.scale) + slot - self.start[found]
             short = live < np.uint64(LOW)
@@ -129,7 +115,7 @@ def byte_letters() -> dict[int, str]:
 
 
 def word_encoder(path: str):
-    """Text -> ids of a byte-level BPE file. The library's model codes each distinct pre-token once, for pre-tokens are coded independently."""
+    """(text -> ids as bytes, their numpy type) of a byte-level BPE file. The library's model codes each distinct pre-token once, for pre-tokens are coded independently."""
     import os
 
     import regex
@@ -142,28 +128,55 @@ def word_encoder(path: str):
     # The library's own byte-level pattern (GPT-2's, fixed).
     pattern = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
     added = [regex.escape(t.content) for t in tokenizer.get_added_tokens_decoder().values()]
+    crowded = regex.compile(r"\s \s")
     special = regex.compile("|".join(added) or r"(?!)")
 
-    class Known(dict):
-        def __missing__(self, word: str) -> list[int]:
-            ids = [t.id for t in coded(word.encode().decode("latin-1").translate(letters))]
+    kind = "<u2" if max(tokenizer.get_vocab().values()) < 1 << 16 else "<u4"
+    width = int(kind[2])
+
+    spelled = [i.to_bytes(width, "little") for i in range(max(tokenizer.get_vocab().values()) + 1)]
+
+    class Tokens(dict):
+        """Pre-token -> its ids, as bytes."""
+
+        def __missing__(self, token: str) -> bytes:
+            ids = b"".join([spelled[t.id] for t in coded(token.encode().decode("latin-1").translate(letters))])
+            if len(self) >= REMEMBERED:
+                self.clear()
+            if len(token) <= 64:
+                self[token] = ids
+            return ids
+
+    tokens = Tokens()
+
+    class Stretches(dict):
+        """What follows a space, up to the next one -> its ids."""
+
+        def __missing__(self, stretch: str) -> bytes:
+            if stretch.isalpha():
+                ids = tokens[" " + stretch]
+            elif stretch[-1:] in (",", ".") and stretch[:-1].isalpha():
+                ids = tokens[" " + stretch[:-1]] + tokens[stretch[-1]]
+            else:
+                ids = b"".join(map(tokens.__getitem__, pattern.findall(" " + stretch)))
             if len(self) >= REMEMBERED:
                 self.clear()
-            if len(word) <= 64:
-                self[word] = ids
+            if len(stretch) <= 32:
+                self[stretch] = ids
             return ids
 
-    known = Known()
+    stretches = Stretches()
 
-    def encode(text: str) -> list[int]:
+    def encode(text: str) -> bytes:
         if special.search(text):
-            return tokenizer.encode(text, add_special_tokens=False).ids
-        out: list[int] = []
-        for ids in map(known.__getitem__, pattern.findall(text)):
-            out += ids
-        return out
+            return np.array(tokenizer.encode(text, add_special_tokens=False).ids, kind).tobytes()
+        # The pattern begins a pre-token at every space that has other characters on one side at least.
+        if crowded.search(text):
+            return b"".join(map(tokens.__getitem__, pattern.findall(text)))
+        first, *others = text.split(" ")
+        return b"".join(map(tokens.__getitem__, pattern.findall(first))) + b"".join(map(stretches.__getitem__, others))
 
-    return encode
+    return encode, kind
 
 
 def _tokenize(batches: Iterator[pa.RecordBatch], path: str | None, end: int) -> Iterator[pa.RecordBatch]:
@@ -173,18 +186,16 @@ def _tokenize(batches: Iterator[pa.RecordBatch], path: str | None, end: int) ->
         import public_tokenizers
 
         path = public_tokenizers.path("byte_bpe_50k.json")
-    encode = own.word_encoder(path)
+    # One encoder a worker process: its memory of tokens serves the worker's later tasks.
+    kept = sys.modules.setdefault("_cadenza_encoders", types.ModuleType("_cadenza_encoders")).__dict__
+    if path not in kept:
+        kept[path] = own.word_encoder(path)
+    encode, kind = kept[path]
+    kind = "<u4" if end >= 1 << 16 else kind
+    last, width = np.array([end], kind).tobytes(), int(kind[2])
     for batch in own.pieces(batches, 4 << 20):
-        ids = []
-        for text in batch.column("text").to_pylist():
-            row = encode(text) if text else []
-            row.append(end)
-            ids.append(np.array(row, "<u2" if max(row) < 65536 else "<u4"))
-        wide = any(x.dtype.itemsize > 2 for x in ids)
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), batch.column("bucket"), pa.array([len(x) for x in ids], pa.int64()), pa.array([wide] * len(ids)), pa.array([x.astype("<u4" if wide else "<u2").tobytes() for x in ids], pa.binary())],
-            names=["doc_id", "bucket", "n", "wide", "ids"],
-        )
+        ids = [(encode(text) if text else b"") + last for text in batch.column("text").to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("bucket"), pa.array([len(x) // width for x in ids], pa.int64()), pa.array([width > 2] * len(ids)), pa.array(ids, pa.binary())], names=["doc_id", "bucket", "n", "wide", "ids"])
 
 
 def _numbers(batch: pa.RecordBatch) -> list[np.ndarray]:
