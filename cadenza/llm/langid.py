@@ -171,18 +171,18 @@ def scores(texts: list[str | None], prototypes: Prototypes, is_letter: np.ndarra
     return best, score
 
 
-def _predict(batches: Iterator[pa.RecordBatch], prototypes: Prototypes) -> Iterator[pa.RecordBatch]:
+def _predict(batches: Iterator[pa.RecordBatch], prototypes: Prototypes, named: tuple[str, str]) -> Iterator[pa.RecordBatch]:
     from cadenza.llm import langid as own
 
     is_letter, langs = own._is_letter(), np.array([*prototypes.langs, own.UNKNOWN], dtype=object)
     for batch in own.pieces(batches, 4 << 20):
         best, score = own.scores(batch.column("text").to_pylist(), prototypes, is_letter)
-        names = [c for c in batch.schema.names if c not in ("lang_pred", "score")]
-        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(langs[best].tolist(), pa.string()), pa.array(score, pa.float64())], names=[*names, "lang_pred", "score"])
+        names = [c for c in batch.schema.names if c not in named]
+        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(langs[best].tolist(), pa.string()), pa.array(score, pa.float64())], names=[*names, *named])
 
 
-def predicted(docs: DataFrame, prototypes: Prototypes) -> DataFrame:
-    """``docs`` with ``lang_pred`` and ``score`` (columns of these names are replaced).
+def predicted(docs: DataFrame, prototypes: Prototypes, named: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """``docs`` with the predicted language and its score under the names of ``named`` (columns of these names are replaced).
 
     A text without letters (null, empty, digits) has ``und`` and 0, and so has
     every text where nothing was learned. Ties go to the first language by code point. Repeated rows
@@ -190,9 +190,9 @@ def predicted(docs: DataFrame, prototypes: Prototypes) -> DataFrame:
     """
     from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-    kept = [f for f in docs.schema.fields if f.name not in ("lang_pred", "score")]
-    schema = StructType([*kept, StructField("lang_pred", StringType()), StructField("score", DoubleType())])
-    return docs.select(*[F.col(f"`{f.name}`") for f in kept]).mapInArrow(partial(_predict, prototypes=prototypes), schema)
+    kept = [f for f in docs.schema.fields if f.name not in named]
+    schema = StructType([*kept, StructField(named[0], StringType()), StructField(named[1], DoubleType())])
+    return docs.select(*[F.col(f"`{f.name}`") for f in kept]).mapInArrow(partial(_predict, prototypes=prototypes, named=named), schema)
 
 
 def remainder(modulus: int) -> Column:
@@ -214,7 +214,6 @@ REJECT_BELOW = 0.05
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps documents with a language: those with letters whose best cosine is at least REJECT_BELOW."""
     prototypes = learned(docs.where(remainder(4) != 2))
-    columns = docs.columns
-    return predicted(docs, prototypes).where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= REJECT_BELOW)).select(*columns)
-
-
+    named = tuple(next(n for k in range(len(docs.columns) + 1) if (n := f"_{name}{k}") not in docs.columns) for name in ("lang", "score"))
+    found = predicted(docs, prototypes, named)
+    return found.where((F.col(named[0]) != UNKNOWN) & (F.col(named[1]) >= REJECT_BELOW)).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -20,7 +20,7 @@ def edge_rows():
         (5, " \n\t ", "de", "s1"),
         (6, "der hund und die katze sind im haus und schlafen", "de", None),
         (7, "12345 67890 !!!", None, "s0"),
-        (8, long_text(), "en", "s2"),
+        (8, long_text(), None, "s2"),
         (9, "one", "en", "s2"),
         (10, "password = abcdefghijkl1234 é▁漢字😀 <|im_end|>\\ \x00z", None, "s2"),
         (None, "no id here at all", "en", "s2"),
