@@ -272,7 +272,7 @@ def _score(batches: Iterator[pa.RecordBatch], model, depth: int) -> Iterator[pa.
         doc = np.repeat(np.arange(len(counts)), counts)
         place = np.minimum(np.searchsorted(keys, hashes), max(len(keys) - 1, 0))
         heavy = keys[place] == hashes if len(keys) else np.zeros(len(hashes), bool)
-        part = np.bincount(doc[heavy], weights=logs[place[heavy]], minlength=len(counts))
+        part = np.bincount(doc[heavy], weights=logs[place[heavy]], minlength=len(counts)).astype(np.float64)
         known = np.bincount(doc[heavy], minlength=len(counts))
         rare = np.bincount(doc[~heavy], minlength=len(counts))
         lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(rare))), pa.int32()), pa.array(hashes[~heavy]))
