@@ -16,9 +16,11 @@ side would have more than ``t``, and then it emits them. No pair is lost.
 
 Documents that share a block key are chained to clusters inside their band
 (connected components, a superset of all links). Clusters are dealt out in
-chunks, and every pair of chunks is one unit of work: sketches' Hamming
-distances sieve, exact set intersection verifies. Only a local spanning forest
-leaves a unit, so a group of near copies never becomes a list of pairs.
+chunks, and every pair of chunks is one unit of work. A first round moves only
+sketches: pairs whose Hamming distance exceeds the bound are out, and what is left
+makes smaller clusters, still a superset. A second round moves the texts of those
+and verifies by exact set intersection. Only a local spanning forest leaves
+a unit, so a group of near copies never becomes a list of pairs.
 """
 
 from __future__ import annotations
@@ -39,7 +41,7 @@ RICH = 2
 #: Documents of a chunk: least and most; up to PARTS chunks a cluster grow with it.
 CHUNK_LEAST, CHUNK_MOST, PARTS = 128, 4096, 32
 
-SKETCHED = "doc_id long, n_shingles long, hi long, lo long, band int, own array<long>, below array<long>"
+SKETCHED = "doc_id long, n_shingles long, hi long, lo long, band int, own array<long>, below array<long>, sketch binary"
 
 
 def band_of(sizes: np.ndarray, num: int, den: int) -> np.ndarray:
@@ -101,6 +103,7 @@ def _sketch(batches: Iterator[pa.RecordBatch], size: int, num: int, den: int) ->
         hi, lo = np.zeros(n, np.int64), np.zeros(n, np.int64)
         lists: tuple[list, list] = ([], [])
         ends = np.zeros((2, n + 1), np.int64)
+        sketches = [b""] * n
         for i in range(n):
             own_values = values[first[i] : first[i + 1]]
             if len(own_values):
@@ -108,9 +111,24 @@ def _sketch(batches: Iterator[pa.RecordBatch], size: int, num: int, den: int) ->
                 lo[i] = np.bitwise_xor.reduce(mixed(own_values ^ np.uint64(0x5E7))).view(np.int64)
                 lists[0].append(own.block_keys(own_values, bands[i], num, den))
                 lists[1].append(own.block_keys(own_values, bands[i] - 1, num, den) if bands[i] > 0 else np.empty(0, np.int64))
+                sketches[i] = own.sketch_of(own_values)
                 ends[0, i + 1], ends[1, i + 1] = len(lists[0][-1]), len(lists[1][-1])
         arrays = [pa.ListArray.from_arrays(pa.array(np.cumsum(ends[k]), pa.int32()), pa.array(np.concatenate(lists[k]) if lists[k] else np.empty(0, np.int64))) for k in (0, 1)]
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), pa.array(sizes, pa.int64()), pa.array(hi), pa.array(lo), pa.array(bands, pa.int32()), *arrays], names=["doc_id", "n_shingles", "hi", "lo", "band", "own", "below"])
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), pa.array(sizes, pa.int64()), pa.array(hi), pa.array(lo), pa.array(bands, pa.int32()), *arrays, pa.array(sketches, pa.binary())], names=["doc_id", "n_shingles", "hi", "lo", "band", "own", "below", "sketch"])
+
+
+def sketch_of(values: np.ndarray) -> bytes:
+    """Parity sketch of a set: a power of two of bits, two to four for each n-gram."""
+    width = min(1 << 16, max(256, 1 << (2 * len(values) - 1).bit_length()))
+    return np.packbits(np.bincount((values % np.uint64(width)).astype(np.int64), minlength=width).astype(np.uint8) & 1, bitorder="little").tobytes()
+
+
+def folded(sketch: bytes, width: int) -> np.ndarray:
+    """A sketch as 64-bit words, folded to ``width`` bits: halves are XORed, so distances only shrink."""
+    words = np.frombuffer(sketch, np.uint64)
+    while len(words) * 64 > width:
+        words = words[: len(words) // 2] ^ words[len(words) // 2 :]
+    return words
 
 
 def pieces(batches: Iterator[pa.RecordBatch], most: int = 8 << 20) -> Iterator[pa.RecordBatch]:
@@ -190,43 +208,96 @@ def verified(sets: Sets, left: np.ndarray, right: np.ndarray, num: int, den: int
     return links
 
 
-def _units(batches: Iterator[pa.RecordBatch], size: int, num: int, den: int) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by unit: doc_id, text, unit, side (0: first chunk, 1: second), single (the chunks are the same)."""
+def near(sizes: np.ndarray, sketches: list[bytes], left: np.ndarray, right: np.ndarray, num: int, den: int) -> list[tuple[int, int]]:
+    """A spanning forest of the pairs that their sketches do not rule out."""
+    same = left is right
+    parent = np.arange(len(sizes))
+
+    def root(x: int) -> int:
+        while parent[x] != x:
+            parent[x] = x = parent[parent[x]]
+        return int(x)
+
+    width = 8 * min(len(sketches[i]) for i in {*left.tolist(), *right.tolist()})
+    a = np.array([folded(sketches[i], width) for i in left])
+    b = a if same else np.array([folded(sketches[i], width) for i in right])
+    links = []
+    for k, i in enumerate(left.tolist()):
+        rest = slice(k + 1, None) if same else slice(None)
+        others = sizes[right[rest]]
+        far = np.bitwise_count(b[rest] ^ a[k]).sum(axis=1, dtype=np.int64)
+        # J >= num/den: the symmetric difference is at most (|A| + |B|)(den - num)/(den + num).
+        fits = (far * (den + num) <= (others + sizes[i]) * (den - num)) & (np.minimum(others, sizes[i]) * den >= np.maximum(others, sizes[i]) * num)
+        for j in right[rest][fits].tolist():
+            p, q = root(i), root(j)
+            if p != q:
+                parent[p] = q
+                links.append((i, j))
+    return links
+
+
+def _sieve(batches: Iterator[pa.RecordBatch], num: int, den: int) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by unit: doc_id, g, unit, side, n, sketch -> pairs (g, a, b) that may link."""
     from cadenza.llm import ngram_join as own
 
-    held: list[pa.RecordBatch] = []
+    for table in own.units_of(batches):
+        ids, g, side, sizes = (table[c].to_numpy() for c in ("doc_id", "g", "side", "n"))
+        sketches = table["sketch"].to_pylist()
+        found = []
+        for at in own.cuts_of(table):
+            left, right = at[side[at] == 0], at[side[at] == 1]
+            found += own.near(sizes, sketches, left, right if len(right) else left, num, den)
+        one, other = [i for i, _ in found], [j for _, j in found]
+        yield pa.RecordBatch.from_arrays([pa.array(g[one], pa.int32()), pa.array(ids[one], pa.int64()), pa.array(ids[other], pa.int64())], names=["g", "a", "b"])
 
-    def done(table: pa.Table) -> pa.RecordBatch:
-        table = table.combine_chunks()
+
+def _verify(batches: Iterator[pa.RecordBatch], size: int, num: int, den: int) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by unit: doc_id, text, unit, side -> links (a, b)."""
+    from cadenza.llm import ngram_join as own
+
+    for table in own.units_of(batches):
         sets = own.Sets(table["text"], size)
-        ids = table["doc_id"].to_numpy()
-        unit, side = table["unit"].to_numpy(), table["side"].to_numpy()
-        cuts = np.flatnonzero(np.concatenate(([True], unit[1:] != unit[:-1], [True])))
-        one, other = [], []
-        for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
-            at = np.arange(lo, hi)
-            left = at[side[lo:hi] == 0]
-            right = at[side[lo:hi] == 1]
-            found = own.verified(sets, left, left if not len(right) else right, num, den)
-            for i, j in found:
-                one.append(ids[i])
-                other.append(ids[j])
-        return pa.RecordBatch.from_arrays([pa.array(one, pa.int64()), pa.array(other, pa.int64())], names=["a", "b"])
+        ids, side = table["doc_id"].to_numpy(), table["side"].to_numpy()
+        found = []
+        for at in own.cuts_of(table):
+            left, right = at[side[at] == 0], at[side[at] == 1]
+            found += own.verified(sets, left, right if len(right) else left, num, den)
+        yield pa.RecordBatch.from_arrays([pa.array(ids[[i for i, _ in found]], pa.int64()), pa.array(ids[[j for _, j in found]], pa.int64())], names=["a", "b"])
 
-    for batch in own.pieces(batches):
+
+def cuts_of(table: pa.Table) -> list[np.ndarray]:
+    """Row numbers of each unit in turn."""
+    unit = table["unit"].to_numpy()
+    cuts = np.flatnonzero(np.concatenate(([True], unit[1:] != unit[:-1], [True])))
+    return [np.arange(lo, hi) for lo, hi in zip(cuts[:-1], cuts[1:], strict=True)]
+
+
+def units_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Tables of whole units, from rows sorted by unit."""
+    held: list[pa.RecordBatch] = []
+    for batch in pieces(batches):
         unit = batch.column("unit").to_numpy(zero_copy_only=False)
         ends = np.flatnonzero(unit[1:] != unit[:-1])
         if held and held[-1].column("unit")[-1].as_py() != unit[0]:
-            yield done(pa.Table.from_batches(held))
+            yield pa.Table.from_batches(held).combine_chunks()
             held = []
         if len(ends):
             cutting = int(ends[-1]) + 1
-            yield done(pa.Table.from_batches([*held, batch.slice(0, cutting)]))
+            yield pa.Table.from_batches([*held, batch.slice(0, cutting)]).combine_chunks()
             held = [batch.slice(cutting)]
         else:
             held.append(batch)
     if held:
-        yield done(pa.Table.from_batches(held))
+        yield pa.Table.from_batches(held).combine_chunks()
+
+
+def dealt(clusters: DataFrame) -> DataFrame:
+    """Members of clusters (g, id, label) -> doc_id, g, unit and side: every pair of a cluster's chunks is a unit."""
+    sizes = cut(clusters.groupBy("g", "label").agg(F.count("*").alias("m")))
+    chunk = F.least(F.lit(CHUNK_MOST), F.greatest(F.lit(CHUNK_LEAST), F.ceil(F.col("m") / PARTS).cast("int")))
+    members = clusters.join(sizes, ["g", "label"]).withColumn("parts", F.ceil(F.col("m") / chunk).cast("int"))
+    members = members.withColumn("own", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int")).withColumn("other", F.explode(F.expr("sequence(0, parts - 1)")))
+    return members.select(F.col("id").alias("doc_id"), "g", F.xxhash64("g", "label", F.least("own", "other"), F.greatest("own", "other")).alias("unit"), F.when(F.col("own") <= F.col("other"), 0).otherwise(1).alias("side"))
 
 
 def jaccard_components(docs: DataFrame, size: int = 5, num: int = 8, den: int = 10) -> DataFrame:
@@ -250,14 +321,13 @@ def jaccard_components(docs: DataFrame, size: int = 5, num: int = 8, den: int =
     stars = keys.select("key", "g", "rep").withColumn("least", F.expr("min(rep) over (partition by key)")).where("rep <> least")
     stars = stars.select("g", F.col("rep").alias("a"), F.col("least").alias("b")).distinct()
     clusters = components(stars, ["g"])
-    sizes = clusters.groupBy("g", "label").agg(F.count("*").alias("m"))
-    chunk = F.least(F.lit(CHUNK_MOST), F.greatest(F.lit(CHUNK_LEAST), F.ceil(F.col("m") / PARTS).cast("int")))
-    members = clusters.join(sizes, ["g", "label"]).withColumn("parts", F.ceil(F.col("m") / chunk).cast("int"))
-    members = members.withColumn("own", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int")).withColumn("other", F.explode(F.expr("sequence(0, parts - 1)")))
-    members = members.select(F.col("id").alias("doc_id"), F.xxhash64("g", "label", F.least("own", "other"), F.greatest("own", "other")).alias("unit"), F.when(F.col("own") <= F.col("other"), 0).otherwise(1).alias("side"))
-    units = read.where("text is not null and doc_id is not null").join(members, "doc_id").select("doc_id", "text", "unit", "side")
-    dealt = units.repartition("unit").sortWithinPartitions("unit")
-    links = cut(dealt.mapInArrow(partial(_units, size=size, num=num, den=den), "a long, b long"))
+    marks = live.select("doc_id", F.col("n_shingles").alias("n"), "hi", "lo", "sketch").join(sets.select("hi", "lo", F.col("rep").alias("doc_id")), ["hi", "lo", "doc_id"], "left_semi").select("doc_id", "n", "sketch")
+    near_units = marks.join(dealt(clusters), "doc_id").repartition("unit").sortWithinPartitions("unit")
+    close = cut(near_units.mapInArrow(partial(_sieve, num=num, den=den), "g int, a long, b long"))
+    refined = components(close, ["g"])
+    units = read.where("text is not null and doc_id is not null").join(dealt(refined).drop("g"), "doc_id").select("doc_id", "text", "unit", "side")
+    units = units.repartition("unit").sortWithinPartitions("unit")
+    links = cut(units.mapInArrow(partial(_verify, size=size, num=num, den=den), "a long, b long"))
     same = live.select("doc_id", "hi", "lo").join(sets.select("hi", "lo", "rep"), ["hi", "lo"]).select(F.col("doc_id").alias("a"), F.col("rep").alias("b")).where("a <> b")
     labels = components(links, [])
     reps = same.join(labels.withColumnRenamed("id", "b"), "b", "left").select(F.col("a").alias("id"), F.coalesce("label", "b").alias("label"))
