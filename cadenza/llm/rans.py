@@ -28,12 +28,12 @@ from pyspark.sql import functions as F
 from cadenza.llm.frames import Buckets, new_path, table, written
 from cadenza.llm.ngram_join import pieces
 
-SCALE, BLOCK, LANES = 20, 1 << 16, 1 << 11
+SCALE, BLOCK, LANES = 20, 1 << 18, 1 << 12
 LOW = 1 << 31
 #: Ids of a chunk, about; a longer document is a chunk of many blocks.
 CHUNK = 1 << 19
 #: Distinct pre-tokens that a worker remembers.
-REMEMBERED = 450_000
+REMEMBERED = 700_000
 
 CHUNKS = "bucket int, part int, first_id long, docs binary, lengths binary, payload binary, offsets binary, counts binary, checks binary"
 
@@ -107,6 +107,10 @@ class Coder:
         return self.symbols[out]
 
 
+class Crowded(Exception):
+    """A space before white space or the end, where pre-tokens need the whole text."""
+
+
 def byte_letters() -> dict[int, str]:
     """The byte-level alphabet: printable Latin-1 stands for itself, the other bytes follow from U+0100 in order."""
     plain = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
@@ -127,10 +131,8 @@ def word_encoder(path: str):
     letters = byte_letters()
     # The library's own byte-level pattern (GPT-2's, fixed).
     pattern = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
-    added = [regex.escape(t.content) for t in tokenizer.get_added_tokens_decoder().values()]
-    crowded = regex.compile(r"\s \s")
-    special = regex.compile("|".join(added) or r"(?!)")
-
+    blank = regex.compile(r"\s").match
+    added = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
     kind = "<u2" if max(tokenizer.get_vocab().values()) < 1 << 16 else "<u4"
     width = int(kind[2])
 
@@ -141,9 +143,7 @@ def word_encoder(path: str):
 
         def __missing__(self, token: str) -> bytes:
             ids = b"".join([spelled[t.id] for t in coded(token.encode().decode("latin-1").translate(letters))])
-            if len(self) >= REMEMBERED:
-                self.clear()
-            if len(token) <= 64:
+            if len(token) <= 64 and len(self) < REMEMBERED:
                 self[token] = ids
             return ids
 
@@ -153,28 +153,29 @@ def word_encoder(path: str):
         """What follows a space, up to the next one -> its ids."""
 
         def __missing__(self, stretch: str) -> bytes:
+            if not stretch or blank(stretch):
+                raise Crowded
             if stretch.isalpha():
                 ids = tokens[" " + stretch]
             elif stretch[-1:] in (",", ".") and stretch[:-1].isalpha():
                 ids = tokens[" " + stretch[:-1]] + tokens[stretch[-1]]
             else:
                 ids = b"".join(map(tokens.__getitem__, pattern.findall(" " + stretch)))
-            if len(self) >= REMEMBERED:
-                self.clear()
-            if len(stretch) <= 32:
+            if len(stretch) <= 32 and len(self) < REMEMBERED:
                 self[stretch] = ids
             return ids
 
     stretches = Stretches()
 
     def encode(text: str) -> bytes:
-        if special.search(text):
+        if any(map(text.__contains__, added)):
             return np.array(tokenizer.encode(text, add_special_tokens=False).ids, kind).tobytes()
-        # The pattern begins a pre-token at every space that has other characters on one side at least.
-        if crowded.search(text):
-            return b"".join(map(tokens.__getitem__, pattern.findall(text)))
+        # The pattern begins a pre-token at every space that something else than white space follows.
         first, *others = text.split(" ")
-        return b"".join(map(tokens.__getitem__, pattern.findall(first))) + b"".join(map(stretches.__getitem__, others))
+        try:
+            return b"".join(map(tokens.__getitem__, pattern.findall(first))) + b"".join(map(stretches.__getitem__, others))
+        except Crowded:
+            return b"".join(map(tokens.__getitem__, pattern.findall(text)))
 
     return encode, kind
 
