@@ -47,15 +47,16 @@ def index(spark: SparkSession, data_in: str | Path) -> DataFrame:
         header = next(csv.reader(handle), None)
     check_header(header)
     schema = ", ".join(f"`{c}` string" for c in header) + ", _corrupt_record string"
-    read = spark.read.csv(str(file), schema=schema, header=True, multiLine=True, escape='"', mode="PERMISSIVE", columnNameOfCorruptRecord="_corrupt_record", enforceSchema=True)
+    read = spark.read.option("columnPruning", "false").csv(str(file), schema=schema, header=True, multiLine=True, escape='"', mode="PERMISSIVE", columnNameOfCorruptRecord="_corrupt_record", enforceSchema=True)
+    # Whole rows are parsed whatever is selected: a ragged row shows only then.
     # One multi-line file is one partition, so ids rise in file order.
-    rows = read.withColumn("row_no", F.monotonically_increasing_id()).cache()
-    if not rows.limit(1).count():
+    rows = read.withColumn("row_no", F.monotonically_increasing_id())
+    if rows.first() is None:
         raise HardError(f"{INDEX} has a header but no rows; at least one is required")
-    bad = rows.where("_corrupt_record is not null").orderBy("row_no").select("row_no", "_corrupt_record").first()
+    bad = rows.where("_corrupt_record is not null").orderBy("row_no").first()
     if bad:
-        fields = len(next(csv.reader([bad[1]]), []))
-        raise HardError(f"{INDEX} line {bad[0] + 2}: {'more' if fields > len(header) else 'fewer'} fields than the header declares")
+        fields = len(next(csv.reader([bad["_corrupt_record"]]), []))
+        raise HardError(f"{INDEX} line {bad['row_no'] + 2}: {'more' if fields > len(header) else 'fewer'} fields than the header declares")
     rows = rows.select("row_no", *[F.coalesce(F.col(c), F.lit("")).alias(c) for c in COLUMNS])
     wrong = rows.withColumn("problem", path_problem(F.col("path"))).where("problem is not null").orderBy("row_no").select("problem").first()
     if wrong:
