@@ -41,7 +41,7 @@ RICH = 2
 #: Documents of a chunk: least and most; up to PARTS chunks a cluster grow with it.
 CHUNK_LEAST, CHUNK_MOST, PARTS = 128, 4096, 32
 
-SKETCHED = "doc_id long, n_shingles long, hi long, lo long, band int, own array<long>, below array<long>, sketch binary"
+SKETCHED = "doc_id long, n_shingles long, hi long, lo long, sketch binary"
 
 
 def band_of(sizes: np.ndarray, num: int, den: int) -> np.ndarray:
@@ -90,31 +90,36 @@ def block_keys(values: np.ndarray, band: int, num: int, den: int) -> np.ndarray:
     return mixed(sketch[chosen] ^ mixed(salt)).view(np.int64)
 
 
-def _sketch(batches: Iterator[pa.RecordBatch], size: int, num: int, den: int) -> Iterator[pa.RecordBatch]:
+def _sketch(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
+    """Per document: set size, 128 bits that name the set, and the parity sketch."""
     from cadenza.llm import ngram_join as own
 
     for batch in own.pieces(batches):
-        words = Words(batch.column("text"))
-        values, first = shingles(words, words.hashes(), size)
-        values, first = distinct(values, first)
-        sizes = np.diff(first)
-        bands = own.band_of(sizes, num, den)
-        n = len(sizes)
-        hi, lo = np.zeros(n, np.int64), np.zeros(n, np.int64)
-        lists: tuple[list, list] = ([], [])
-        ends = np.zeros((2, n + 1), np.int64)
-        sketches = [b""] * n
-        for i in range(n):
-            own_values = values[first[i] : first[i + 1]]
-            if len(own_values):
-                hi[i] = np.uint64(own_values.sum(dtype=np.uint64)).view(np.int64)
-                lo[i] = np.bitwise_xor.reduce(mixed(own_values ^ np.uint64(0x5E7))).view(np.int64)
-                lists[0].append(own.block_keys(own_values, bands[i], num, den))
-                lists[1].append(own.block_keys(own_values, bands[i] - 1, num, den) if bands[i] > 0 else np.empty(0, np.int64))
-                sketches[i] = own.sketch_of(own_values)
-                ends[0, i + 1], ends[1, i + 1] = len(lists[0][-1]), len(lists[1][-1])
-        arrays = [pa.ListArray.from_arrays(pa.array(np.cumsum(ends[k]), pa.int32()), pa.array(np.concatenate(lists[k]) if lists[k] else np.empty(0, np.int64))) for k in (0, 1)]
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), pa.array(sizes, pa.int64()), pa.array(hi), pa.array(lo), pa.array(bands, pa.int32()), *arrays, pa.array(sketches, pa.binary())], names=["doc_id", "n_shingles", "hi", "lo", "band", "own", "below", "sketch"])
+        sets = own.Sets(batch.column("text"), size)
+        n = len(sets.sizes)
+        hi, lo, sketches = np.zeros(n, np.int64), np.zeros(n, np.int64), [b""] * n
+        for i in np.flatnonzero(sets.sizes).tolist():
+            values = sets[i]
+            hi[i] = np.uint64(values.sum(dtype=np.uint64)).view(np.int64)
+            lo[i] = np.bitwise_xor.reduce(mixed(values ^ np.uint64(0x5E7))).view(np.int64)
+            sketches[i] = own.sketch_of(values)
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), pa.array(sets.sizes, pa.int64()), pa.array(hi), pa.array(lo), pa.array(sketches, pa.binary())], names=["doc_id", "n_shingles", "hi", "lo", "sketch"])
+
+
+def _keys(batches: Iterator[pa.RecordBatch], size: int, num: int, den: int) -> Iterator[pa.RecordBatch]:
+    """(key, id) of all blocks, in a document's own band and the one below; a key's lowest 8 bits are its band."""
+    from cadenza.llm import ngram_join as own
+
+    for batch in own.pieces(batches):
+        sets = own.Sets(batch.column("text"), size)
+        bands = own.band_of(sets.sizes, num, den)
+        ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
+        keys, counts = [], np.zeros(len(ids), np.int64)
+        for i in np.flatnonzero(sets.sizes).tolist():
+            for band in range(max(0, int(bands[i]) - 1), int(bands[i]) + 1):
+                keys.append((own.block_keys(sets[i], band, num, den) & ~0xFF) | (band & 0xFF))
+                counts[i] += len(keys[-1])
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys) if keys else np.empty(0, np.int64), pa.int64()), pa.array(np.repeat(ids, counts).astype(np.int64), pa.int64())], names=["key", "id"])
 
 
 def sketch_of(values: np.ndarray) -> bytes:
@@ -313,16 +318,17 @@ def jaccard_components(docs: DataFrame, size: int = 5, num: int = 8, den: int =
     if not 0 < num <= den:
         raise ValueError("0 < num <= den is needed")
     read = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    sketched = written(read.mapInArrow(partial(_sketch, size=size, num=num, den=den), SKETCHED), "sketches")
+    sketched = written(read.mapInArrow(partial(_sketch, size=size), SKETCHED), "sketches")
     live = sketched.where("n_shingles > 0 and doc_id is not null")
-    sets = live.groupBy("hi", "lo").agg(F.min("doc_id").alias("rep"), F.first("band").alias("band"), F.first("own").alias("own"), F.first("below").alias("below"))
-    joins = F.array(F.struct(F.col("band").alias("g"), F.col("own").alias("ks")), F.struct((F.col("band") - 1).alias("g"), F.col("below").alias("ks")))
-    keys = sets.select("rep", F.explode(joins).alias("j")).select("rep", F.col("j.g").alias("g"), F.explode("j.ks").alias("key"))
-    stars = keys.select("key", "g", "rep").withColumn("least", F.expr("min(rep) over (partition by key)")).where("rep <> least")
-    stars = stars.select("g", F.col("rep").alias("a"), F.col("least").alias("b")).distinct()
+    sets = live.groupBy("hi", "lo").agg(F.min("doc_id").alias("rep"))
+    keys = read.where("text is not null and doc_id is not null").mapInArrow(partial(_keys, size=size, num=num, den=den), "key long, id long")
+    stars = keys.withColumn("least", F.expr("min(id) over (partition by key)")).where("id <> least")
+    stars = stars.select(F.col("key").bitwiseAND(0xFF).cast("int").alias("g"), F.col("id").alias("a"), F.col("least").alias("b")).distinct()
     clusters = components(stars, ["g"])
+    # Of equal sets one goes on: the copies link to it by their names.
+    reps = sets.select(F.col("rep").alias("id"))
     marks = live.select("doc_id", F.col("n_shingles").alias("n"), "hi", "lo", "sketch").join(sets.select("hi", "lo", F.col("rep").alias("doc_id")), ["hi", "lo", "doc_id"], "left_semi").select("doc_id", "n", "sketch")
-    near_units = marks.join(dealt(clusters), "doc_id").repartition("unit").sortWithinPartitions("unit")
+    near_units = marks.join(dealt(clusters.join(reps, "id", "left_semi")), "doc_id").repartition("unit").sortWithinPartitions("unit")
     close = cut(near_units.mapInArrow(partial(_sieve, num=num, den=den), "g int, a long, b long"))
     refined = components(close, ["g"])
     units = read.where("text is not null and doc_id is not null").join(dealt(refined).drop("g"), "doc_id").select("doc_id", "text", "unit", "side")
