@@ -1,7 +1,7 @@
 """Operators for large text corpora. Nothing else in the library imports this subpackage.
 
-Python code that runs on executors is pickled by value, so that executors need
-no copy of the package.
+Python code that runs on executors is pickled by value and imports this package
+there, so executors need it on their path.
 """
 
 import sys
