@@ -7,17 +7,21 @@ preceding bytes; in every context every binary decision has a Krichevsky-Trofimo
 estimate, and the weighting mixes the estimates of all depths: a node's weighted
 probability is half its own estimate and half the product over its longer contexts.
 
-Training counts all runs of depth + 1 bytes in the corpus. The context tree is
-expanded where a context holds at least one in ``contexts`` of all coded bytes, so a
-depth has at most ``contexts`` nodes at any corpus size. The occurrences of a node
-that lie in no expanded longer context form one remainder leaf below it, so no
-count is lost. The tree is a bounded table; it gives each terminal context a
-distribution over bytes, and a text's score is the sum of their logarithms.
-
-The base score is a unigram model with add-one counts over the same tokens.
-Tokens that make up at least one in ``heavy`` of the corpus (at most ``heavy`` by
-counting) are looked up in a broadcast table; all others meet their
-counts in a shuffle join.
+Training counts all runs of depth + 1 bytes in the corpus. The context tree keeps every
+context that occurs ``LEAST`` times or more, so it grows with the corpus. The
+occurrences of a node that lie in no kept longer context form one remainder leaf
+below it, so no count is lost.
+
+No process holds the tree. Texts are dealt to chunks; each chunk sends its distinct
+runs, and a shuffle sums them to one row a run (with the chunks that ask for it).
+Contexts of CUT bytes and longer are weighted in blocks of whole subtrees, dealt by their
+nearest CUT bytes. The driver weights only the shorter contexts: their runs of CUT bytes
+are a table that the alphabet bounds, not the corpus. A second pass over the blocks
+gives each run its logarithm, which goes back to the chunks that ask; a
+text's score is the sum of its runs' logarithms.
+
+The base score is a unigram model with add-one counts over the same tokens; tokens
+travel the same way as runs.
 """
 
 from __future__ import annotations
@@ -27,6 +31,7 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,12 +40,16 @@ from cadenza.llm.langid import remainder
 from cadenza.llm.ngram_join import pieces
 from cadenza.llm.textkit import Words, mixed
 
-DEPTH, CONTEXTS, HEAVY = 5, 1 << 15, 1 << 22
+DEPTH, LEAST, CUT = 5, 2, 3
+#: Bytes of text in a chunk, about; runs in a block, about.
+CHUNK, BLOCK = 16 << 20, 400_000
 END = 0x0A
 #: The hash of the end token; no word hashes through it but by chance.
 END_HASH = int(mixed(np.array([0xE0D], np.uint64)).view(np.int64)[0])
 #: Distinct keys that a task holds before it sends them on.
 HELD = 3_000_000
+#: The keys of tokens have this bit, those of runs (48 bits) do not.
+TOKEN = np.uint64(1 << 63)
 
 
 def stream(words: Words, depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -87,15 +96,15 @@ def runs(data: np.ndarray, mask: np.ndarray, depth: int) -> np.ndarray:
 
 
 class Tally:
-    """Sums of counts by 64-bit key."""
+    """Sums of counts by 64-bit key; keys that are seen but not learned count 0."""
 
     def __init__(self) -> None:
         self.keys, self.counts, self.size = [], [], 0
 
-    def add(self, keys: np.ndarray) -> None:
+    def add(self, keys: np.ndarray, learned: bool = True) -> None:
         found, counts = np.unique(keys, return_counts=True)
         self.keys.append(found)
-        self.counts.append(counts)
+        self.counts.append(counts * learned)
         self.size += len(found)
 
     def merge(self) -> None:
@@ -107,33 +116,83 @@ class Tally:
             self.keys, self.counts = [keys[new]], [np.add.reduceat(counts, new)]
             self.size = len(new)
 
-    def taken(self, kind: int) -> Iterator[pa.RecordBatch]:
+    def taken(self, chunk: int) -> Iterator[pa.RecordBatch]:
         self.merge()
         if self.size:
             keys, counts = self.keys[0].view(np.int64), self.counts[0]
             for lo in range(0, len(keys), 200_000):
                 k = keys[lo : lo + 200_000]
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(k), kind, np.int32)), pa.array(k), pa.array(counts[lo : lo + 200_000].astype(np.int64))], names=["kind", "key", "n"])
+                yield pa.RecordBatch.from_arrays([pa.array(k), pa.array(counts[lo : lo + 200_000].astype(np.int64)), pa.array(np.full(len(k), chunk, np.int32))], names=["key", "n", "chunk"])
         self.keys, self.counts, self.size = [], [], 0
 
 
+def _keys(words: Words, depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(keys of the words, of the coded bytes' runs, number of coded bytes of each text)."""
+    data, first, last = stream(words, depth)
+    return words.hashes() | TOKEN, runs(data, coded(first, last, len(data)), depth), last - first
+
+
 def _count(batches: Iterator[pa.RecordBatch], depth: int) -> Iterator[pa.RecordBatch]:
-    """Kind 0: tokens by hash; kind 1: runs of bytes."""
+    """Tokens and runs of bytes, by chunk."""
     from cadenza.llm import ctw as own
 
-    tallies = (own.Tally(), own.Tally())
+    tally, at = own.Tally(), None
     for batch in own.pieces(batches, 4 << 20):
-        words = own.Words(batch.column("text"))
-        data, first, last = own.stream(words, depth)
-        tallies[0].add(np.concatenate((words.hashes(), np.full(batch.num_rows, own.END_HASH, np.int64).view(np.uint64))))
-        tallies[1].add(own.runs(data, own.coded(first, last, len(data)), depth))
-        for kind, tally in enumerate(tallies):
+        chunks, taught = batch.column("chunk").to_numpy(), batch.column("taught").to_numpy(zero_copy_only=False)
+        for chunk in np.unique(chunks).tolist():
+            if chunk != at:
+                if at is not None:
+                    yield from tally.taken(at)
+                at = chunk
+            for learned in (True, False):
+                rows = (chunks == chunk) & (taught == learned)
+                if rows.any():
+                    part = batch.filter(pa.array(rows))
+                    tokens, found, _ = own._keys(own.Words(part.column("text")), depth)
+                    tally.add(np.concatenate((tokens, np.full(part.num_rows, own.END_HASH, np.int64).view(np.uint64) | own.TOKEN)), learned)
+                    tally.add(found, learned)
             if tally.size > own.HELD:
                 tally.merge()
                 if tally.size > own.HELD // 2:
-                    yield from tally.taken(kind)
-    for kind, tally in enumerate(tallies):
-        yield from tally.taken(kind)
+                    yield from tally.taken(at)
+    if at is not None:
+        yield from tally.taken(at)
+
+
+def _blocks(batches: Iterator[pa.RecordBatch], column: str, most: int) -> Iterator[pa.Table]:
+    """Tables of about ``most`` rows or more; rows that share ``column``, by which the batches are sorted, stay together."""
+    held, rows = [], 0
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        held.append(batch)
+        rows += batch.num_rows
+        if rows >= most:
+            whole = pa.Table.from_batches(held)
+            values = batch.column(column).to_numpy()
+            new = np.flatnonzero(values[1:] != values[:-1])
+            if len(new):
+                end = rows - batch.num_rows + int(new[-1]) + 1
+                yield whole.slice(0, end)
+                held = whole.slice(end).to_batches()
+                rows -= end
+    if rows:
+        yield pa.Table.from_batches(held)
+
+
+def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row a key: its count, and the chunks that hold it."""
+    from cadenza.llm import ctw as own
+
+    for block in own._blocks(batches, "key", own.BLOCK):
+        keys, counts, chunks = (block.column(c).to_numpy() for c in ("key", "n", "chunk"))
+        order = np.lexsort((chunks, keys))
+        keys, counts, chunks = keys[order], counts[order], chunks[order]
+        new = np.concatenate(([True], keys[1:] != keys[:-1]))
+        other = new | np.concatenate(([True], chunks[1:] != chunks[:-1]))
+        starts = np.flatnonzero(new)
+        lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(np.add.reduceat(other.astype(np.int64), starts)))), pa.int32()), pa.array(chunks[other]))
+        yield pa.RecordBatch.from_arrays([pa.array(keys[starts]), pa.array(np.add.reduceat(counts, starts)), lists], names=["key", "n", "chunks"])
 
 
 def _log_gamma(x: np.ndarray) -> np.ndarray:
@@ -167,8 +226,127 @@ def _kt(counts: np.ndarray, step: int = 1024) -> tuple[np.ndarray, np.ndarray]:
     return log, ones
 
 
+_SMALL = 1 << 12
+_HALVES = _log_gamma(np.arange(_SMALL) + 0.5)
+_WHOLES = _log_gamma(np.arange(_SMALL) + 1.0)
+
+
+def _estimate(zero: np.ndarray, one: np.ndarray) -> np.ndarray:
+    """Log of the Krichevsky-Trofimov probability of whole counts; small ones by table."""
+    both = zero + one
+    small = both < _SMALL
+    out = np.empty(len(zero))
+    z, o = zero[small].astype(np.int64), one[small].astype(np.int64)
+    out[small] = _HALVES[z] + _HALVES[o] - _WHOLES[z + o] - np.log(np.pi)
+    z, o = zero[~small], one[~small]
+    out[~small] = _log_gamma(z + 0.5) + _log_gamma(o + 0.5) - _log_gamma(z + o + 1.0) - np.log(np.pi)
+    return out
+
+
+class Part:
+    """Nodes of depths ``low`` to ``high`` of a weighted context tree, from runs of ``high`` + 1 bytes.
+
+    ``keys`` and ``counts``: all runs of the subtrees, also those that count 0 and are only
+    asked for. A node holds decisions only where some run passes; elsewhere its probability
+    is 1 and adds nothing. ``below``: for each run, the count in kept contexts of depth
+    high + 1, and for each bit the sum of their logarithms (on any one run of a decision).
+    """
+
+    def __init__(self, keys: np.ndarray, counts: np.ndarray, low: int, high: int, least: float, below: tuple[np.ndarray, np.ndarray] | None = None):
+        self.low, self.high = low, high
+        self.keys, self.up, self.n, self.in_kept = {}, {}, {}, {}
+        self.kept, self.inner = {}, {}
+        at, self.where = np.unique(keys, return_inverse=True)
+        n = np.bincount(self.where, counts, len(at))
+        self.in_kept[high] = np.zeros(len(at)) if below is None else np.bincount(self.where, below[0], len(at))
+        for d in range(high, low - 1, -1):
+            self.keys[d], self.n[d] = at, n
+            node = np.cumsum(np.concatenate(([False], at[1:] >> np.uint64(8) != at[:-1] >> np.uint64(8))))
+            self.kept[d] = (np.bincount(node, n)[node] >= least) | (d == 0)
+            self.inner[d] = np.bincount(node, self.in_kept[d])[node] > 0
+            if d > low:
+                at, self.up[d] = np.unique(at & np.uint64((1 << (8 * d)) - 1), return_inverse=True)
+                self.in_kept[d - 1] = np.bincount(self.up[d], n * self.kept[d], len(at))
+                n = np.bincount(self.up[d], n, len(at))
+        self.bits = [self._weighted(k, None if below is None else np.bincount(self.where, below[1][:, k], len(self.keys[high]))) for k in range(8)]
+
+    def _weighted(self, k: int, sums: np.ndarray | None) -> dict:
+        """By depth: (cell of each run, its first run, log of the weighted probability, probabilities of a 1 next and in the remainder, share of the own estimate)."""
+        out = {}
+        for d in range(self.high, self.low - 1, -1):
+            keys = self.keys[d]
+            cells = keys >> np.uint64(8 - k)
+            new = np.concatenate(([True], cells[1:] != cells[:-1]))
+            cell, first = np.cumsum(new) - 1, np.flatnonzero(new)
+            bit = ((keys >> np.uint64(7 - k)) & np.uint64(1)).astype(np.float64)
+            rest = self.n[d] - self.in_kept[d]
+            one, rest_one = np.bincount(cell, self.n[d] * bit), np.bincount(cell, rest * bit)
+            zero, rest_zero = np.bincount(cell, self.n[d] * (1 - bit)), np.bincount(cell, rest * (1 - bit))
+            log = _estimate(zero, one)
+            children = _estimate(rest_zero, rest_one)
+            if d < self.high:
+                _, lower, weighted, *_ = out[d + 1]
+                children += np.bincount(cell[self.up[d + 1][lower]], weighted * self.kept[d + 1][lower], len(first))
+            elif sums is not None:
+                children += np.bincount(cell, sums)
+            mixture = np.where(self.inner[d][first], np.logaddexp(log, children) - np.log(2), log)
+            share = np.where(self.inner[d][first], np.exp(log - np.log(2) - mixture), 1.0)
+            out[d] = cell, first, mixture, (one + 0.5) / (zero + one + 1), (rest_one + 0.5) / (rest_zero + rest_one + 1), share
+        return out
+
+    def upward(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Of depth ``low``: runs, counts, counts in kept nodes, logarithms by bit (on the first run of a decision)."""
+        low, logs = self.low, np.zeros((len(self.keys[self.low]), 8))
+        for k in range(8):
+            _, first, mixture, *_ = self.bits[k][low]
+            logs[first, k] = mixture * self.kept[low][first]
+        return self.keys[low], self.n[low], self.n[low] * self.kept[low], logs
+
+    def downward(self, k: int, state: tuple[np.ndarray, np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """At bit ``k``, for the runs of depth ``high``: probability of a 1 if no longer context is kept; sum and weight that go into kept ones. ``state``: the same from the depth above, for the runs of depth ``low``."""
+        for d in range(self.low, self.high + 1):
+            end, total, weight = state if d == self.low else (x[self.up[d]] for x in state)
+            cell, _, _, ones, rest, share = self.bits[k][d]
+            ones, rest, share = ones[cell], rest[cell], share[cell]
+            total = total + weight * share * ones
+            weight = weight * (1 - share)
+            state = np.where(self.kept[d], np.where(self.inner[d], total + weight * rest, total), end), total, weight
+        return state
+
+
+def _upward(batches: Iterator[pa.RecordBatch], depth: int, cut: int, least: float) -> Iterator[pa.RecordBatch]:
+    """What subtrees of depth ``cut`` add to the runs above."""
+    from cadenza.llm import ctw as own
+
+    for block in own._blocks(batches, "g", own.BLOCK):
+        keys, n, kept, logs = own.Part(block.column("key").to_numpy().view(np.uint64), block.column("n").to_numpy(), cut, depth, least).upward()
+        above = (keys & np.uint64((1 << (8 * cut)) - 1)).view(np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(above), pa.array(n.astype(np.int64)), pa.array(kept.astype(np.int64)), *(pa.array(logs[:, k].copy()) for k in range(8))], names=["key", "n", "kept", *(f"w{k}" for k in range(8))])
+
+
+def _downward(batches: Iterator[pa.RecordBatch], top, depth: int, cut: int, least: float) -> Iterator[pa.RecordBatch]:
+    """log10 probability of each run, for each chunk that asks."""
+    from cadenza.llm import ctw as own
+
+    above, states = top.value
+    for block in own._blocks(batches, "g", own.BLOCK):
+        part = own.Part(block.column("key").to_numpy().view(np.uint64), block.column("n").to_numpy(), cut, depth, least)
+        at = np.searchsorted(above, part.keys[cut] & np.uint64((1 << (8 * cut)) - 1))
+        logs = np.zeros(len(part.keys[depth]))
+        for k in range(8):
+            p, _, _ = part.downward(k, tuple(x[at, k] for x in states))
+            logs += np.log10(np.where((part.keys[depth] >> np.uint64(7 - k)) & np.uint64(1), p, 1 - p))
+        lists = block.column("chunks").combine_chunks()
+        sizes = lists.value_lengths().to_numpy()
+        keys, chunks = np.repeat(block.column("key").to_numpy(), sizes), lists.flatten()
+        # Rounded to 32 bits: that is precise enough, and packs better on its way.
+        values = np.repeat(logs[part.where].astype(np.float32).astype(np.float64), sizes)
+        for lo in range(0, len(keys), 200_000):
+            yield pa.RecordBatch.from_arrays([chunks.slice(lo, 200_000), pa.array(keys[lo : lo + 200_000]), pa.array(values[lo : lo + 200_000])], names=["chunk", "key", "value"])
+
+
 class Tree:
-    """A weighted context tree. ``step``[inner node, byte]: the inner node below, or -1 - t for terminal t; ``logs``[t, byte]: log10 probability."""
+    """A weighted context tree in one process, for small tables: the tests hold the blocks against it. ``step``[inner node, byte]: the inner node below, or -1 - t for terminal t; ``logs``[t, byte]: log10 probability."""
 
     def __init__(self, depth: int, rows: dict[int, tuple[np.ndarray, np.ndarray]]):
         """rows[d]: (contexts of depth d in ascending order, their counts of next bytes, 256 each)."""
@@ -257,33 +435,35 @@ class Tree:
         return self.logs[-1 - state, data[at]]
 
 
-def _score(batches: Iterator[pa.RecordBatch], model, depth: int) -> Iterator[pa.RecordBatch]:
+def _score(texts: pa.Table, values: pa.Table, depth: int) -> pa.Table:
+    """Scores of the texts of a chunk; ``values`` has each of its keys."""
     from cadenza.llm import ctw as own
 
-    tree, keys, logs = model.value
-    for batch in own.pieces(batches, 4 << 20):
+    keys, value = values.column("key").combine_chunks(), values.column("value").to_numpy()
+    end = value[pc.index_in(pa.scalar(int(np.uint64(own.END_HASH & ((1 << 64) - 1)) | own.TOKEN) - (1 << 64), pa.int64()), value_set=keys).as_py()] if len(keys) else 0.0
+    out = []
+    for batch in own.pieces(texts.to_batches(), 2 << 20):
         words = own.Words(batch.column("text"))
-        data, first, last = own.stream(words, depth)
-        each = tree.scored(data, own.coded(first, last, len(data))).astype(np.float64)
-        sizes = last - first
-        score = np.add.reduceat(each, np.cumsum(sizes) - sizes)
-        hashes = words.hashes().view(np.int64)
+        tokens, found, sizes = own._keys(words, depth)
+        at = lambda x: pc.index_in(pa.array(x.view(np.int64)), value_set=keys).to_numpy()
+        score = np.add.reduceat(value[at(found)], np.cumsum(sizes) - sizes)
         counts = np.diff(words.first)
         doc = np.repeat(np.arange(len(counts)), counts)
-        place = np.minimum(np.searchsorted(keys, hashes), max(len(keys) - 1, 0))
-        heavy = keys[place] == hashes if len(keys) else np.zeros(len(hashes), bool)
-        part = np.bincount(doc[heavy], weights=logs[place[heavy]], minlength=len(counts)).astype(np.float64)
-        known = np.bincount(doc[heavy], minlength=len(counts))
-        rare = np.bincount(doc[~heavy], minlength=len(counts))
-        lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(rare))), pa.int32()), pa.array(hashes[~heavy]))
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), batch.column("held_out"), pa.array(counts + 1, pa.int64()), pa.array(sizes, pa.int64()), pa.array(score), pa.array(part), pa.array(known.astype(np.int64)), lists],
-            names=["doc_id", "held_out", "n_tokens", "n_bytes", "score", "part", "known", "rare"],
-        )
-
-
-def grown(grams: DataFrame, total: int, depth: int = DEPTH, contexts: int = CONTEXTS) -> Tree:
-    """The tree of counted runs (key, n)."""
+        seen = value[at(tokens)] if len(tokens) else np.zeros(0)
+        base = np.bincount(doc, weights=seen, minlength=len(counts)) + end
+        known = np.bincount(doc[seen > 0], minlength=len(counts)) + int(end > 0)
+        out.append(pa.RecordBatch.from_arrays(
+            [batch.column("doc_id"), batch.column("held_out"), pa.array(counts + 1, pa.int64()), pa.array(known.astype(np.int64)), pa.array(base), pa.array(score), pa.array(sizes, pa.int64())],
+            names=["doc_id", "held_out", "n_tokens", "n_known", "base", "score", "n_bytes"],
+        ))
+    return pa.Table.from_batches(out, OUT)
+
+
+OUT = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base", pa.float64()), ("score", pa.float64()), ("n_bytes", pa.int64())])
+
+
+def grown(grams: DataFrame, total: int, depth: int, contexts: int) -> Tree:
+    """The tree of counted runs (key, n) in one process, with at most ``contexts`` nodes a depth."""
     spans = F.array(*[F.struct(F.lit(d).alias("d"), F.col("key").bitwiseAND(F.lit((1 << (8 * d + 8)) - 1)).alias("k")) for d in range(depth + 1)])
     by = cut(grams.select("n", F.explode(spans).alias("s")).groupBy("s.d", "s.k").agg(F.sum("n").alias("n")))
     context = F.shiftright("k", 8).alias("c")
@@ -301,35 +481,51 @@ def grown(grams: DataFrame, total: int, depth: int = DEPTH, contexts: int = CONT
     return Tree(depth, out)
 
 
-def scored(docs: DataFrame, learn: str = "not held_out", depth: int = DEPTH, contexts: int = CONTEXTS, heavy: int = HEAVY) -> DataFrame:
+def logarithms(keys: DataFrame, least: float, depth: int) -> DataFrame:
+    """``chunk``, ``key``, ``value``: the log10 probabilities of the runs in ``keys`` (key, n, chunks)."""
+    spark, cut_at = keys.sparkSession, min(CUT, depth)
+    dealt = keys.withColumn("g", F.shiftright("key", 8).bitwiseAND((1 << (8 * cut_at)) - 1))
+    sums = ", ".join(f"w{k} double" for k in range(8))
+    rows = dealt.select("g", "key", "n").repartition("g").sortWithinPartitions("g").mapInArrow(partial(_upward, depth=depth, cut=cut_at, least=least), f"key long, n long, kept long, {sums}")
+    rows = rows.groupBy("key").agg(*[F.sum(c).alias(c) for c in ("n", "kept", *(f"w{k}" for k in range(8)))]).toArrow()
+    below = rows.column("kept").to_numpy(), np.stack([rows.column(f"w{k}").to_numpy() for k in range(8)], axis=1)
+    states = [np.zeros((0, 8))] * 3
+    above = rows.column("key").to_numpy().view(np.uint64)
+    if len(above):
+        top = Part(above, rows.column("n").to_numpy(), 0, cut_at - 1, least, below)
+        above, size = top.keys[cut_at - 1], len(top.keys[0])
+        found = [top.downward(k, (np.full(size, 0.5), np.zeros(size), np.ones(size))) for k in range(8)]
+        states = [np.stack([f[i] for f in found], axis=1) for i in range(3)]
+    model = spark.sparkContext.broadcast((above, states))
+    return dealt.repartition("g").sortWithinPartitions("g").mapInArrow(partial(_downward, top=model, depth=depth, cut=cut_at, least=least), "chunk int, key long, value double")
+
+
+def scored(docs: DataFrame, learn: str = "not held_out", depth: int = DEPTH, contexts: int | None = None, heavy: int | None = None) -> DataFrame:
     """Scores of all rows of ``docs`` (doc_id, text, held_out), learning from those where ``learn`` holds.
 
     Returns doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, n_bytes and
     bits_per_byte. A null or empty text is the end token alone. Where nothing is learned,
     N and V are 0, base_score is 0 and bytes have probability 1/256. Repeated rows are scored
-    alike, each one; all repeats teach.
+    alike, each one; all repeats teach. ``contexts`` bounds the contexts of a depth (default: all
+    that occur LEAST times are kept); ``heavy`` has no effect any more.
     """
-    spark = docs.sparkSession
-    docs = docs.select("doc_id", F.col("text").cast("string").alias("text"), "held_out")
-    counts = written(docs.where(learn).select("text").mapInArrow(partial(_count, depth=depth), "kind int, key long, n long").groupBy("kind", "key").agg(F.sum("n").alias("n")), "counts")
-    summary = {r["kind"]: r for r in counts.groupBy("kind").agg(F.sum("n").alias("n"), F.count("*").alias("v")).collect()}
-    n, v = (int(summary[0]["n"]), int(summary[0]["v"])) if 0 in summary else (0, 0)
-    total = int(summary[1]["n"]) if 1 in summary else 0
-    tree = grown(counts.where("kind = 1"), total, depth, contexts)
-    tokens = counts.where("kind = 0").select("key", "n")
-    common = tokens.where(F.col("n") * heavy >= n).sort("key").toArrow()
-    end = tokens.where(F.col("key") == END_HASH).first()
-    model = spark.sparkContext.broadcast((tree, common["key"].to_numpy(), np.log10(common["n"].to_numpy() + 1.0)))
-    parts = docs.mapInArrow(partial(_score, model=model, depth=depth), "doc_id long, held_out boolean, n_tokens long, n_bytes long, score double, part double, known long, rare array<long>")
-    parts = written(parts, "scored").withColumn("row", F.monotonically_increasing_id())
-    seldom = parts.select("row", F.explode("rare").alias("key")).join(tokens, "key")
-    seldom = seldom.groupBy("row").agg(F.sum(F.log10(F.col("n") + 1)).alias("more"), F.count("*").alias("also"))
-    out = parts.drop("rare").join(seldom, "row", "left")
-    spread = F.log10(F.lit(float(n + 1 * (v + 1))))
-    ends = F.lit(float(np.log10(end["n"] + 1)) if end else 0.0)
+    docs = docs.select("doc_id", F.col("text").cast("string").alias("text"), "held_out", F.coalesce(F.expr(learn), F.lit(False)).alias("taught"))
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    chunks = -(-size // CHUNK) + 1
+    docs = docs.withColumn("chunk", F.pmod(F.monotonically_increasing_id(), F.lit(chunks)).cast("int"))
+    docs = written(docs.repartition("chunk").sortWithinPartitions("chunk"), "texts", compression="zstd")
+    asked = docs.select("chunk", "taught", "text").mapInArrow(partial(_count, depth=depth), "key long, n long, chunk int")
+    keys = written(asked.repartition("key").sortWithinPartitions("key").mapInArrow(_summed, "key long, n long, chunks array<int>"), "keys", compression="zstd")
+    taught = F.col("n") > 0
+    n, v, total = (int(x or 0) for x in keys.agg(F.sum(F.when(F.col("key") < 0, F.col("n"))), F.count(F.when((F.col("key") < 0) & taught, 1)), F.sum(F.when(F.col("key") >= 0, F.col("n")))).first())
+    values = logarithms(keys.where("key >= 0"), LEAST if contexts is None else max(total, 1) / contexts, depth)
+    tokens = keys.where("key < 0").select(F.explode("chunks").alias("chunk"), "key", F.log10(F.col("n") + 1).alias("value"))
+    out = docs.groupBy("chunk").cogroup(values.unionByName(tokens).groupBy("chunk"))
+    out = out.applyInArrow(partial(_score, depth=depth), "doc_id long, held_out boolean, n_tokens long, n_known long, base double, score double, n_bytes long")
+    spread = F.log10(F.lit(float(n + v + 1)))
     return out.select(
-        "doc_id", "held_out", "n_tokens", (F.col("known") + F.coalesce("also", F.lit(0)) + F.lit(1 if end else 0)).alias("n_known"), F.lit(n).cast("long").alias("train_tokens"),
-        (F.col("part") + F.coalesce("more", F.lit(0.0)) + ends - F.col("n_tokens") * spread).alias("base_score"), "score", "n_bytes", (F.col("score") / F.log10(F.lit(2.0)) / -F.col("n_bytes")).alias("bits_per_byte"),
+        "doc_id", "held_out", "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"),
+        (F.col("base") - F.col("n_tokens") * spread).alias("base_score"), "score", "n_bytes", (F.col("score") / F.log10(F.lit(2.0)) / -F.col("n_bytes")).alias("bits_per_byte"),
     )
 
 

@@ -143,3 +143,24 @@ def test_edges(edge, empty, edge_rows):
     for r in untaught:
         assert abs(r.score + r.n_bytes * 8 * math.log10(2)) < 1e-3 * r.n_bytes
     assert ctw.scored(empty.withColumn("held_out", F.lit(False))).count() == 0
+
+
+def test_tree_grows_with_the_corpus(spark):
+    """Contexts that occur LEAST times are kept, however small their share of the corpus: about 50,000 at the depth of the test, beyond the 32,768 of the former cap."""
+    rng = random.Random(5)
+    letters = "".join(map(chr, range(0x21, 0x7F))).translate(LOWER)
+    texts = [" ".join(["".join(rng.choice(letters) for _ in range(7))] * 2) for _ in range(12_000)]
+    docs = spark.createDataFrame([(k, t, False) for k, t in enumerate(texts)], "doc_id long, text string, held_out boolean")
+    mean = lambda **more: ctw.scored(docs, depth=4, **more).agg(F.avg("bits_per_byte")).first()[0]
+    assert mean() < mean(contexts=1 << 15) - 0.3
+
+
+def test_blocks_equal_recursion_on_all_contexts(spark):
+    rng = random.Random(2)
+    texts = ["".join(rng.choice("ab c") for _ in range(rng.randrange(25))) for _ in range(12)]
+    slow = Slow(texts, 4, ctw.LEAST)
+    docs = spark.createDataFrame([(k, t, False) for k, t in enumerate(texts)] + [(99, "cab zz b", True)], "doc_id long, text string, held_out boolean")
+    for r in ctw.scored(docs, depth=4).collect():
+        whole = b"\n" * 4 + coded_bytes("cab zz b" if r.doc_id == 99 else texts[r.doc_id])
+        want = sum(slow.probability(whole[p - 4 : p], whole[p]) for p in range(4, len(whole)))
+        assert abs(r.score - want) < 1e-4 * abs(want) + 1e-5
