@@ -13,8 +13,10 @@ reach the driver.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from functools import partial
+from statistics import NormalDist
 
 import numpy as np
 import pyarrow as pa
@@ -207,13 +209,19 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return predicted(docs.select("doc_id", "held_out", "text"), prototypes).select("doc_id", "held_out", "lang_pred", "score")
 
 
-#: Cosines of texts in an unlearned script scatter around 0 by about 1 / sqrt(DIMENSIONS) = 0.03; texts of one or two words of a learned language reach 0.1.
-REJECT_BELOW = 0.05
+#: Of texts in an unlearned script, this share passes, about. Texts of one or two words of a learned language may be lost as well.
+PASSING = 0.01
+
+
+def least_score(prototypes: Prototypes) -> float:
+    """Cosines of unrelated texts scatter around 0 by 1 / sqrt(dimensions); the largest of one a language is above this in PASSING of cases."""
+    count = max(len(prototypes.langs), 1)
+    return NormalDist().inv_cdf((1 - PASSING) ** (1 / count)) / math.sqrt(DIMENSIONS)
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps documents with a language: those with letters whose best cosine is at least REJECT_BELOW."""
+    """Keeps documents with a language: those with letters whose best cosine is at least ``least_score``."""
     prototypes = learned(docs.where(remainder(4) != 2))
     named = tuple(next(n for k in range(len(docs.columns) + 1) if (n := f"_{name}{k}") not in docs.columns) for name in ("lang", "score"))
     found = predicted(docs, prototypes, named)
-    return found.where((F.col(named[0]) != UNKNOWN) & (F.col(named[1]) >= REJECT_BELOW)).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return found.where((F.col(named[0]) != UNKNOWN) & (F.col(named[1]) >= least_score(prototypes))).select(*[F.col(f"`{c}`") for c in docs.columns])

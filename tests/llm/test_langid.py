@@ -62,3 +62,16 @@ def test_stage_keeps_documents_with_a_language(spark, edge, empty):
     assert {r.score for r in kept.collect()} == {0.5}
     assert not {3, 4, 5, 7} & {r.doc_id for r in kept.collect()}
     assert langid.language_stage(spark, empty, "").count() == 0
+
+
+def test_texts_in_unlearned_scripts_are_rejected(spark, sf_dir):
+    """600 made-up languages of 30 letters each, in scripts that no training text has."""
+    rng = np.random.default_rng(4)
+    prototypes = langid.learned(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    texts = []
+    for k in range(600):
+        letters = [chr(0x4E00 + 30 * k + i) for i in range(30)]
+        texts.append(" ".join("".join(rng.choice(letters, 5)) for _ in range(60)))
+    _, score = langid.scores(texts, prototypes, langid._is_letter())
+    passing = (score >= langid.least_score(prototypes)).mean()
+    assert len(prototypes.langs) > 1 and passing <= 0.03 < (score >= 0.05).mean()
