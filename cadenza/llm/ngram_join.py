@@ -348,14 +348,30 @@ def jaccard_components(docs: DataFrame, size: int = 5, num: int = 8, den: int =
 
 
 def near_duplicate_stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each class of near duplicates (five words, 0.8): the one with the smallest doc_id, one row of it."""
+    """Keeps one document of each class of near duplicates (five words, 0.8): the one with the smallest doc_id, one row of it.
+
+    Where doc_id repeats, each pair of doc_id and text is a document of its own: the smallest text settles ties of
+    doc_id, the other columns those of equal rows.
+    """
+    if docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").limit(1).count():
+        return _one_row_a_class(docs)
     found = jaccard_components(docs, size=5, num=8, den=10)
     gone = found.where("component_id <> doc_id").select("doc_id").distinct()
-    kept = docs.join(gone, "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
-    if docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").limit(1).count():
-        # rows without a doc_id are no copies of each other
-        kept = kept.where("doc_id is null").unionByName(kept.where("doc_id is not null").dropDuplicates(["doc_id"]))
-    return kept
+    return docs.join(gone, "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
+def _one_row_a_class(docs: DataFrame) -> DataFrame:
+    """The near-duplicate stage for repeated ids. Documents are named by a hash of doc_id and text, so the least row of a class is found by its columns."""
+    name = F.shiftrightunsigned(F.xxhash64("doc_id", F.col("text").isNull(), "text"), 1)
+    columns = ["doc_id", "text", *(c for c in docs.columns if c not in ("doc_id", "text"))]
+    # One struct holds the row, so that no name clashes with its columns.
+    rows = docs.where("doc_id is not null").select(name.alias("name"), F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"))
+    found = jaccard_components(rows.select(F.col("name").alias("doc_id"), F.col("row.text").alias("text")), size=5, num=8, den=10)
+    classes = found.groupBy(F.col("doc_id").alias("name")).agg(F.min("component_id").alias("class"))
+    least = rows.join(classes, "name").groupBy("class").agg(F.min("row").alias("row"))
+    kept = least.select("row.*").select(*[F.col(f"`{c}`") for c in docs.columns])
+    # rows without a doc_id are no copies of each other
+    return docs.where("doc_id is null").unionByName(kept)
 
 
 def op1_ngram_jaccard_join(spark, sf_dir: str) -> DataFrame:

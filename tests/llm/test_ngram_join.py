@@ -109,3 +109,11 @@ def test_stage_keeps_one_of_each_class(spark, edge, empty):
     assert sorted(r.doc_id for r in kept.collect() if r.doc_id is not None) == [1, 3, 4, 5, 6, 7, 8, 9, 10]
     assert kept.where("doc_id is null").count() == 2
     assert near_duplicate_stage(spark, empty, "").count() == 0
+
+
+def test_stage_keeps_different_texts_of_one_id(spark):
+    a, b, c = ("one two three four five six seven", "alpha beta gamma delta epsilon zeta eta", "red green blue black white grey brown")
+    rows = [(1, b, "x"), (1, a, "y"), (1, a, "x"), (2, a, "z"), (3, c, "z"), (None, a, "z")]
+    for n in (1, 5):
+        kept = near_duplicate_stage(spark, spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(n), "")
+        assert sorted(map(tuple, kept.collect()), key=str) == sorted([(1, b, "x"), (1, a, "x"), (3, c, "z"), (None, a, "z")], key=str)
