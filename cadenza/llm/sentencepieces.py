@@ -28,11 +28,10 @@ from pyspark.sql import functions as F
 
 from cadenza.llm.frames import table
 from cadenza.llm.ngram_join import pieces
-from cadenza.llm.textkit import INVERSE, PRIME, mixed, powers
+from cadenza.llm.textkit import PRIME, mixed, slice_hashes
 
 ALPHA, FLAT, SEED = 1.0, 100.0, 10
 SPACE, LITERAL = 0x2581, 0x110001
-STEP = 1 << 16
 
 
 def _symbol_codes(symbols: np.ndarray) -> np.ndarray:
@@ -212,18 +211,8 @@ def sampled(texts: list[str | None], keys: np.ndarray, store: Store, seed: int =
     starts = np.flatnonzero(begins)
     lengths = np.diff(np.append(starts, len(x)))
     # Distinct units by a hash of their symbols.
-    codes = _symbol_codes(x)
-    hashes = np.empty(len(starts), np.uint64)
-    lo = 0
-    while lo < len(starts):
-        hi = max(int(np.searchsorted(starts, starts[lo] + STEP)), lo + 1)
-        stop = starts[hi] if hi < len(starts) else len(x)
-        up, down = powers(stop - starts[lo] + 1, PRIME), powers(stop - starts[lo] + 1, INVERSE)
-        sums = np.concatenate(([np.uint64(0)], np.cumsum(codes[starts[lo] : stop] * up[:-1])))
-        s = starts[lo:hi] - starts[lo]
-        hashes[lo:hi] = (sums[s + lengths[lo:hi]] - sums[s]) * down[s]
-        lo = hi
-    hashes, one, unit = np.unique(mixed(hashes) ^ mixed(lengths.astype(np.uint64)), return_index=True, return_inverse=True)
+    hashes = slice_hashes(np.ascontiguousarray(x, "<u4").view(np.uint8), 4 * starts, 4 * (starts + lengths))
+    hashes, one, unit = np.unique(hashes, return_index=True, return_inverse=True)
     lattices, base = store.ready(hashes, x, starts[one], lengths[one])
     # Backward sampling of all occurrences at once.
     doc = np.searchsorted(first, starts, side="right") - 1

@@ -7,12 +7,13 @@ and hashed with numpy, so that no Python code runs once a word.
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 import pyarrow as pa
 
-#: Fixed odd multiplier of the polynomial word hash, and its inverse modulo 2**64.
+#: Fixed odd multiplier of the hashes.
 PRIME = 0x9E3779B97F4A7C15
-INVERSE = pow(PRIME, -1, 1 << 64)
 
 #: The white space of the word pattern ``[^\\x20\\x09-\\x0D]+``.
 SPACES = (0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D)
@@ -31,25 +32,16 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 
 mixed = _mixed
 
-_BYTE_CODES = _mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(PRIME))
+#: Slices of more bytes are hashed one by one.
+LANES_MOST = 64
+#: What counts of a lane with k bytes left.
+_MASKS = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
 _IS_SPACE = np.zeros(256, bool)
 _IS_SPACE[list(SPACES)] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
 
-def powers(n: int, base: int) -> np.ndarray:
-    """base**0 .. base**(n-1) modulo 2**64."""
-    out = np.empty(max(n, 1), np.uint64)
-    out[0] = 1
-    have = 1
-    while have < n:
-        more = min(have, n - have)
-        out[have : have + more] = out[:more] * np.uint64(pow(base, have, 1 << 64))
-        have += more
-    return out[:n]
-
-
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(bytes of all texts, offsets of n + 1); a null is an empty text."""
     if isinstance(column, pa.ChunkedArray):
@@ -87,27 +79,24 @@ class Words:
 
     def hashes(self) -> np.ndarray:
         """A 64-bit hash of each word; equal words have equal hashes in any batch."""
-        n = len(self.raw)
-        out = np.empty(len(self.starts), np.uint64)
-        step = 1 << 20
-        lo = 0
-        up = powers(step + 1, PRIME)
-        down = powers(step + 1, INVERSE)
-        while lo < len(self.starts):
-            base = self.starts[lo]
-            hi = max(int(np.searchsorted(self.ends, base + step, side="right")), lo + 1)
-            stop = self.ends[hi - 1]
-            if stop - base > step:  # one very long word
-                u, d = powers(stop - base + 1, PRIME), None
-            else:
-                u, d = up, down
-            sums = np.zeros(stop - base + 1, np.uint64)
-            np.cumsum(_BYTE_CODES[self.raw[base:stop]] * u[: stop - base], out=sums[1:])
-            s, e = self.starts[lo:hi] - base, self.ends[lo:hi] - base
-            out[lo:hi] = (sums[e] - sums[s]) * (d[s] if d is not None else np.uint64(1))
-            lo = hi
-        del n
-        return _mixed(out)
+        return slice_hashes(self.raw, self.starts, self.ends)
+
+
+def slice_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each slice of the bytes ``raw``: its length and its 8-byte lanes, mixed one after the other, or BLAKE2b beyond LANES_MOST bytes."""
+    lengths = (ends - starts).astype(np.int64)
+    out = _mixed(lengths.astype(np.uint64) * np.uint64(PRIME))
+    lanes = np.ndarray((len(raw) + 1,), "<u8", buffer=np.concatenate((raw, np.zeros(8, np.uint8))), strides=(1,))
+    live = np.flatnonzero(lengths <= LANES_MOST)
+    for k in range(0, LANES_MOST, 8):
+        live = live[lengths[live] > k]
+        if not len(live):
+            break
+        left = np.minimum(lengths[live] - k, 8)
+        out[live] = _mixed((out[live] ^ (lanes[starts[live] + k] & _MASKS[left])) * np.uint64(PRIME))
+    for i in np.flatnonzero(lengths > LANES_MOST).tolist():
+        out[i] = int.from_bytes(hashlib.blake2b(raw[starts[i] : ends[i]], digest_size=8).digest(), "little")
+    return out
 
 
 def shingles(words: Words, hashes: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:

@@ -84,3 +84,11 @@ def test_edges(spark, edge, empty, edge_rows):
     assert all(r.lossless and len(r.ids) == r.n_pieces for r in rows)
     assert {r.n_pieces for r in rows if r.doc_id in (3, 4)} == {0}
     assert sp.encoded(empty).count() == 0
+
+
+def test_long_words_alike_decode_to_themselves(vocabulary):
+    """Pairs of words that a polynomial modulo 2**64 cannot tell apart."""
+    words = ["".join("ab"[k.bit_count() & 1] for k in range(n)) for n in (1024, 2048, 4096)]
+    texts = [t for w in words for t in (w, w.translate(str.maketrans("ab", "ba")))]
+    for text, ids in zip(texts, ids_of(texts, vocabulary), strict=True):
+        assert sp.decode(ids, vocabulary) == text.encode()
