@@ -14,9 +14,11 @@ Blocks with fewer than two n-grams say little. A document leaves them out where
 it has at most ``t`` of them: if all agreeing blocks of a pair were such, each
 side would have more than ``t``, and then it emits them. No pair is lost.
 
-Documents that share a block key are chained to clusters inside their band
-(connected components, a superset of all links). Clusters are dealt out in
-chunks, and every pair of chunks is one unit of work. A first round moves only
+Equal sets have one name and are one node from the start. Nodes that share a block key
+are chained to clusters inside their band (connected components, a superset of all
+links). A task reduces the keys of its documents to one row a key and the links
+among its own nodes, so a key that a third of all rows hold makes a row a task. Clusters
+are dealt out in chunks, and every pair of chunks is one unit of work. A first round moves only
 sketches: pairs whose Hamming distance exceeds the bound are out, and what is left
 makes smaller clusters, still a superset. A second round moves the texts of those
 and verifies by exact set intersection. Only a local spanning forest leaves
@@ -30,16 +32,18 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cadenza.llm.frames import components, cut, written
+from cadenza.llm.frames import SALT, components, cut, written
 from cadenza.llm.textkit import Words, distinct, mixed, shingles
 
 #: Fewest n-grams of a block that says much.
 RICH = 2
-#: Documents of a chunk: least and most; up to PARTS chunks a cluster grow with it.
-CHUNK_LEAST, CHUNK_MOST, PARTS = 128, 4096, 32
+#: Documents of a chunk: least and most. Between them, a chunk of a band's largest sets holds CHUNK_GRAMS n-grams.
+CHUNK_LEAST, CHUNK_MOST, CHUNK_GRAMS = 64, 4096, 1 << 21
+#: Block keys that a task holds before it sends them on.
+KEYS_HELD = 1 << 21
 
 SKETCHED = "doc_id long, n_shingles long, hi long, lo long, sketch binary"
 
@@ -100,26 +104,67 @@ def _sketch(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordB
         hi, lo, sketches = np.zeros(n, np.int64), np.zeros(n, np.int64), [b""] * n
         for i in np.flatnonzero(sets.sizes).tolist():
             values = sets[i]
-            hi[i] = np.uint64(values.sum(dtype=np.uint64)).view(np.int64)
+            hi[i] = own.name_of(values)
             lo[i] = np.bitwise_xor.reduce(mixed(values ^ np.uint64(0x5E7))).view(np.int64)
             sketches[i] = own.sketch_of(values)
         yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), pa.array(sets.sizes, pa.int64()), pa.array(hi), pa.array(lo), pa.array(sketches, pa.binary())], names=["doc_id", "n_shingles", "hi", "lo", "sketch"])
 
 
+def name_of(values: np.ndarray) -> np.int64:
+    """64 bits that name a set; if two sets share them, their node stands for both, and links are only sought in more places."""
+    return np.uint64(values.sum(dtype=np.uint64)).view(np.int64)
+
+
 def _keys(batches: Iterator[pa.RecordBatch], size: int, num: int, den: int) -> Iterator[pa.RecordBatch]:
-    """(key, id) of all blocks, in a document's own band and the one below; a key's lowest 8 bits are its band."""
+    """Rows (key, id, least) of the nodes' blocks, in a node's own band and the one below.
+
+    Of each key one row with the smallest id that holds it here; for every other holder
+    a link (id, least) inside the key's band. A key's lowest 8 bits are its band.
+    """
     from cadenza.llm import ngram_join as own
 
+    keys, ids, held = [], [], 0
+    seen: set[int] = set()
     for batch in own.pieces(batches):
         sets = own.Sets(batch.column("text"), size)
         bands = own.band_of(sets.sizes, num, den)
-        ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
-        keys, counts = [], np.zeros(len(ids), np.int64)
         for i in np.flatnonzero(sets.sizes).tolist():
+            name = own.name_of(sets[i])
+            if int(name) in seen:
+                continue
+            seen.add(int(name))
             for band in range(max(0, int(bands[i]) - 1), int(bands[i]) + 1):
                 keys.append((own.block_keys(sets[i], band, num, den) & ~0xFF) | (band & 0xFF))
-                counts[i] += len(keys[-1])
-        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys) if keys else np.empty(0, np.int64), pa.int64()), pa.array(np.repeat(ids, counts).astype(np.int64), pa.int64())], names=["key", "id"])
+                ids.append(np.full(len(keys[-1]), name, np.int64))
+                held += len(keys[-1])
+        if held >= own.KEYS_HELD:
+            yield from own.reduced(np.concatenate(keys), np.concatenate(ids))
+            # The names seen are forgotten as well: an equal set then only sends its keys once more.
+            keys, ids, held, seen = [], [], 0, set()
+    if held:
+        yield from own.reduced(np.concatenate(keys), np.concatenate(ids))
+
+
+def reduced(keys: np.ndarray, ids: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """One row a key, and the distinct links of the other holders to its smallest id."""
+    order = np.lexsort((ids, keys))
+    keys, ids = keys[order], ids[order]
+    new = np.concatenate(([True], keys[1:] != keys[:-1]))
+    least = ids[new][np.cumsum(new) - 1]
+    other = np.flatnonzero(ids != least)
+    band, one, to = keys[other] & 0xFF, ids[other], least[other]
+    order = np.lexsort((to, one, band))
+    band, one, to = band[order], one[order], to[order]
+    fresh = np.ones(len(order), bool)
+    fresh[1:] = (band[1:] != band[:-1]) | (one[1:] != one[:-1]) | (to[1:] != to[:-1])
+    band, one, to = band[fresh], one[fresh], to[fresh]
+    # A link's row needs no partner: its key only spreads it.
+    apart = (mixed(one.view(np.uint64) ^ mixed(to.view(np.uint64))).view(np.int64) & ~0xFF) | band
+    all_keys, all_ids = np.concatenate((keys[new], apart)), np.concatenate((ids[new], one))
+    links = pa.array(np.concatenate((np.zeros(int(new.sum()), np.int64), to)), mask=np.concatenate((np.ones(int(new.sum()), bool), np.zeros(len(to), bool))))
+    whole = pa.RecordBatch.from_arrays([pa.array(all_keys), pa.array(all_ids), links], names=["key", "id", "least"])
+    for at in range(0, whole.num_rows, 200_000):
+        yield whole.slice(at, 200_000)
 
 
 def sketch_of(values: np.ndarray) -> bytes:
@@ -169,33 +214,30 @@ def parity(sets: Sets, at: np.ndarray, width: int) -> np.ndarray:
 def verified(sets: Sets, left: np.ndarray, right: np.ndarray, num: int, den: int) -> list[tuple[int, int]]:
     """A spanning forest of the links between ``left`` and ``right`` (all pairs inside, where they are the same)."""
     same = left is right
-    parent: dict[int, int] = {}
-
-    def root(x: int) -> int:
-        while parent.get(x, x) != x:
-            parent[x] = x = parent.get(parent[x], parent[x])
-        return x
-
+    group = np.arange(len(sets.sizes))  # a smaller name of each document's links so far
     links = []
 
-    def judge(i: int, j: int) -> None:
-        a, b = root(i), root(j)
-        if a == b:
-            return
-        x, y = sets[i], sets[j]
-        both = np.concatenate((x, y))
-        both.sort()
-        common = int(np.count_nonzero(both[1:] == both[:-1]))
-        if den * common >= num * (len(x) + len(y) - common) and common:
-            parent[a] = b
-            links.append((i, j))
+    def judge(i: int, others: np.ndarray) -> None:
+        """Links ``i`` with the groups of ``others`` that it reaches; one link to each is enough."""
+        done = set()
+        for j in others[group[others] != group[i]].tolist():
+            if group[j] == group[i] or group[j] in done:
+                continue
+            x, y = sets[i], sets[j]
+            both = np.concatenate((x, y))
+            both.sort()
+            common = int(np.count_nonzero(both[1:] == both[:-1]))
+            if den * common >= num * (len(x) + len(y) - common) and common:
+                done.add(group[j])
+                links.append((i, j))
+        if done:
+            group[np.isin(group, list(done))] = group[i]
 
     sizes = sets.sizes
     if len(left) * len(right) <= 64:
         for k, i in enumerate(left):
-            for j in right[k + 1 :] if same else right:
-                if min(sizes[i], sizes[j]) * den >= max(sizes[i], sizes[j]) * num:
-                    judge(int(i), int(j))
+            rest = right[k + 1 :] if same else right
+            judge(int(i), rest[np.minimum(sizes[i], sizes[rest]) * den >= np.maximum(sizes[i], sizes[rest]) * num])
         return links
     widest = int(max(sizes[left].max(), sizes[right].max()))
     width = min(16384, max(1024, 1 << (4 * widest - 1).bit_length()))
@@ -208,21 +250,14 @@ def verified(sets: Sets, left: np.ndarray, right: np.ndarray, num: int, den: int
         total = size_b[rest] + sizes[i]
         # J >= num/den: the symmetric difference is at most (|A| + |B|)(den - num)/(den + num).
         near = np.flatnonzero((far * (den + num) <= total * (den - num)) & (np.minimum(size_b[rest], sizes[i]) * den >= np.maximum(size_b[rest], sizes[i]) * num))
-        for j in right[rest][near[np.argsort(far[near], kind="stable")]]:
-            judge(int(i), int(j))
+        judge(int(i), right[rest][near[np.argsort(far[near], kind="stable")]])
     return links
 
 
 def near(sizes: np.ndarray, sketches: list[bytes], left: np.ndarray, right: np.ndarray, num: int, den: int) -> list[tuple[int, int]]:
     """A spanning forest of the pairs that their sketches do not rule out."""
     same = left is right
-    parent = np.arange(len(sizes))
-
-    def root(x: int) -> int:
-        while parent[x] != x:
-            parent[x] = x = parent[parent[x]]
-        return int(x)
-
+    group = np.arange(len(sizes))
     width = 8 * min(len(sketches[i]) for i in {*left.tolist(), *right.tolist()})
     a = np.array([folded(sketches[i], width) for i in left])
     b = a if same else np.array([folded(sketches[i], width) for i in right])
@@ -233,11 +268,12 @@ def near(sizes: np.ndarray, sketches: list[bytes], left: np.ndarray, right: np.n
         far = np.bitwise_count(b[rest] ^ a[k]).sum(axis=1, dtype=np.int64)
         # J >= num/den: the symmetric difference is at most (|A| + |B|)(den - num)/(den + num).
         fits = (far * (den + num) <= (others + sizes[i]) * (den - num)) & (np.minimum(others, sizes[i]) * den >= np.maximum(others, sizes[i]) * num)
-        for j in right[rest][fits].tolist():
-            p, q = root(i), root(j)
-            if p != q:
-                parent[p] = q
-                links.append((i, j))
+        others = right[rest][fits]
+        found, one = np.unique(group[others], return_index=True)
+        fresh = found != group[i]
+        if fresh.any():
+            links += [(i, j) for j in others[one[fresh]].tolist()]
+            group[np.isin(group, found[fresh])] = group[i]
     return links
 
 
@@ -296,13 +332,16 @@ def units_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
         yield pa.Table.from_batches(held).combine_chunks()
 
 
-def dealt(clusters: DataFrame) -> DataFrame:
-    """Members of clusters (g, id, label) -> doc_id, g, unit and side: every pair of a cluster's chunks is a unit."""
+def dealt(clusters: DataFrame, num: int, den: int) -> DataFrame:
+    """Members of clusters (g, id, label) -> id, g, unit and side: every pair of a cluster's chunks is a unit."""
     sizes = cut(clusters.groupBy("g", "label").agg(F.count("*").alias("m")))
-    chunk = F.least(F.lit(CHUNK_MOST), F.greatest(F.lit(CHUNK_LEAST), F.ceil(F.col("m") / PARTS).cast("int")))
-    members = clusters.join(sizes, ["g", "label"]).withColumn("parts", F.ceil(F.col("m") / chunk).cast("int"))
+    edges = [1]
+    while len(edges) < 257:
+        edges.append(max(edges[-1] + 1, edges[-1] * den // num + 1))
+    chunks = F.lit([max(CHUNK_LEAST, min(CHUNK_MOST, CHUNK_GRAMS // most)) for most in edges[1:]])
+    members = clusters.join(sizes, ["g", "label"]).withColumn("parts", F.ceil(F.col("m") / F.get(chunks, F.col("g"))).cast("int"))
     members = members.withColumn("own", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int")).withColumn("other", F.explode(F.expr("sequence(0, parts - 1)")))
-    return members.select(F.col("id").alias("doc_id"), "g", F.xxhash64("g", "label", F.least("own", "other"), F.greatest("own", "other")).alias("unit"), F.when(F.col("own") <= F.col("other"), 0).otherwise(1).alias("side"))
+    return members.select("id", "g", F.xxhash64("g", "label", F.least("own", "other"), F.greatest("own", "other")).alias("unit"), F.when(F.col("own") <= F.col("other"), 0).otherwise(1).alias("side"))
 
 
 def jaccard_components(docs: DataFrame, size: int = 5, num: int = 8, den: int = 10) -> DataFrame:
@@ -320,23 +359,25 @@ def jaccard_components(docs: DataFrame, size: int = 5, num: int = 8, den: int =
     read = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     sketched = written(read.mapInArrow(partial(_sketch, size=size), SKETCHED), "sketches")
     live = sketched.where("n_shingles > 0 and doc_id is not null")
-    sets = live.groupBy("hi", "lo").agg(F.min("doc_id").alias("rep"))
-    keys = read.where("text is not null and doc_id is not null").mapInArrow(partial(_keys, size=size, num=num, den=den), "key long, id long")
-    stars = keys.withColumn("least", F.expr("min(id) over (partition by key)")).where("id <> least")
-    stars = stars.select(F.col("key").bitwiseAND(0xFF).cast("int").alias("g"), F.col("id").alias("a"), F.col("least").alias("b")).distinct()
-    clusters = components(stars, ["g"])
+    sets = cut(live.groupBy("hi", "lo").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies")))
+    keys = read.where("text is not null and doc_id is not null").mapInArrow(partial(_keys, size=size, num=num, den=den), "key long, id long, least long")
+    stars = keys.withColumn("least", F.coalesce("least", F.min(F.when(F.col("least").isNull(), F.col("id"))).over(Window.partitionBy("key")))).where("id <> least")
+    clusters = components(stars.select(F.col("key").bitwiseAND(0xFF).cast("int").alias("g"), F.col("id").alias("a"), F.col("least").alias("b")), ["g"])
     # Of equal sets one goes on: the copies link to it by their names.
-    reps = sets.select(F.col("rep").alias("id"))
-    marks = live.select("doc_id", F.col("n_shingles").alias("n"), "hi", "lo", "sketch").join(sets.select("hi", "lo", F.col("rep").alias("doc_id")), ["hi", "lo", "doc_id"], "left_semi").select("doc_id", "n", "sketch")
-    near_units = marks.join(dealt(clusters.join(reps, "id", "left_semi")), "doc_id").repartition("unit").sortWithinPartitions("unit")
-    close = cut(near_units.mapInArrow(partial(_sieve, num=num, den=den), "g int, a long, b long"))
+    marks = live.select("doc_id", F.col("n_shingles").alias("n"), "hi", "lo", "sketch").join(sets.select("hi", "lo", F.col("rep").alias("doc_id")), ["hi", "lo", "doc_id"], "left_semi")
+    near_units = marks.join(dealt(clusters, num, den).withColumnRenamed("id", "hi"), "hi").select("doc_id", "g", "unit", "side", "n", "sketch").repartition("unit").sortWithinPartitions("unit")
+    close = near_units.mapInArrow(partial(_sieve, num=num, den=den), "g int, a long, b long")
     refined = components(close, ["g"])
-    units = read.where("text is not null and doc_id is not null").join(dealt(refined).drop("g"), "doc_id").select("doc_id", "text", "unit", "side")
+    units = read.where("text is not null and doc_id is not null").join(dealt(refined, num, den).drop("g").withColumnRenamed("id", "doc_id"), "doc_id").select("doc_id", "text", "unit", "side")
     units = units.repartition("unit").sortWithinPartitions("unit")
-    links = cut(units.mapInArrow(partial(_verify, size=size, num=num, den=den), "a long, b long"))
-    same = live.select("doc_id", "hi", "lo").join(sets.select("hi", "lo", "rep"), ["hi", "lo"]).select(F.col("doc_id").alias("a"), F.col("rep").alias("b")).where("a <> b")
+    links = units.mapInArrow(partial(_verify, size=size, num=num, den=den), "a long, b long")
+    # The copies of one set are spread over SALT tasks.
+    spread = sets.where("copies > 1").select("hi", "lo", "rep", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1)).cast("array<long>")).alias("salt"))
+    same = live.select("doc_id", "hi", "lo", F.pmod(F.xxhash64("doc_id"), F.lit(SALT)).alias("salt")).join(spread, ["hi", "lo", "salt"]).select(F.col("doc_id").alias("a"), F.col("rep").alias("b")).where("a <> b")
     labels = components(links, [])
-    reps = same.join(labels.withColumnRenamed("id", "b"), "b", "left").select(F.col("a").alias("id"), F.coalesce("label", "b").alias("label"))
+    copies = same.withColumn("salt", F.pmod(F.xxhash64("a"), F.lit(SALT)))
+    known = labels.select(F.col("id").alias("b"), "label", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1)).cast("array<long>")).alias("salt"))
+    reps = copies.join(known, ["b", "salt"], "left").select(F.col("a").alias("id"), F.coalesce("label", "b").alias("label"))
     # One document may have several sets (rows that share a doc_id): join their classes too.
     repeated = live.groupBy("doc_id").count().where("count > 1").limit(1).count()
     if repeated:

@@ -2,9 +2,12 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from cadenza.llm.ngram_join import band_of, block_keys, blocks_of, jaccard_components, near_duplicate_stage
+from cadenza.llm.frames import components
+from cadenza.llm.ngram_join import band_of, block_keys, blocks_of, jaccard_components, near_duplicate_stage, reduced
+from cadenza.llm.textkit import Words
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -117,3 +120,36 @@ def test_stage_keeps_different_texts_of_one_id(spark):
     for n in (1, 5):
         kept = near_duplicate_stage(spark, spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(n), "")
         assert sorted(map(tuple, kept.collect()), key=str) == sorted([(1, b, "x"), (1, a, "x"), (3, c, "z"), (None, a, "z")], key=str)
+
+
+def test_chain_of_links(spark):
+    """Two hundred documents, each linked to the next alone; the smallest id is at the far end."""
+    rows = [(k % 200 + 1, " ".join(f"v{i}" for i in range(9 * k, 9 * k + 90))) for k in range(200)]
+    got = jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"), 1, 8, 10).collect()
+    assert {r.component_id for r in got} == {1}
+    ends = [(r.doc_id - 1, r.component_id) for r in jaccard_components(spark.createDataFrame(rows, "doc_id long, text string").where("doc_id <> 100"), 1, 8, 10).collect()]
+    assert all(c == (1 if d < 99 else 101) for d, c in ends)
+
+
+def test_components_of_chains_and_hubs(spark):
+    """Orders in which labels travel badly: a chain with its smallest id at the end, and a hub with the largest id."""
+    chain = [(0, k, k + 1) for k in range(1, 300)] + [(0, 0, 300)]
+    hub = [(1, 999, k) for k in range(400)]
+    got = components(spark.createDataFrame(chain + hub, "g int, a long, b long").repartition(8), ["g"]).collect()
+    assert sorted(map(tuple, got)) == sorted([(0, k, 0) for k in range(301)] + [(1, k, 0) for k in [*range(400), 999]])
+
+
+def test_a_key_of_all_rows_is_one_row_a_task():
+    keys, ids = np.array([256] * 1000 + [512, 512]), np.array([*range(1000), 3, 2])
+    got = pa.Table.from_batches(reduced(keys, ids)).to_pylist()
+    assert [(r["key"], r["id"]) for r in got if r["least"] is None] == [(256, 0), (512, 2)]
+    assert sorted((r["id"], r["least"]) for r in got if r["least"] is not None) == sorted([(k, 0) for k in range(1, 1000)] + [(3, 2)])
+
+
+@pytest.mark.parametrize("n", [1024, 2048, 4096, 8192])
+def test_thue_morse_words_differ(n):
+    """Words that a polynomial modulo 2**64 cannot tell apart."""
+    word = "".join("ab"[k.bit_count() & 1] for k in range(n))
+    other = word.translate(str.maketrans("ab", "ba"))
+    found = Words(pa.array([f"{word} {other}", other])).hashes()
+    assert found[0] != found[1] == found[2]
