@@ -15,7 +15,7 @@ INDEX = "recordings.csv"
 #: The columns of the index, and those on which byte-identical files must agree, in this order.
 COLUMNS = ("path", "speaker_id", "session_id", "prompt_text", "device", "environment")
 AGREED = ("speaker_id", "session_id", "prompt_text", "device", "environment")
-#: Listed files up to this number are named to the scan; more are found by scanning the folder.
+#: Listed files up to this number are named to the scan; more are found by scanning the folder. The result is the same.
 NAMED = 5_000
 
 
@@ -80,7 +80,12 @@ def originals(spark: SparkSession, data_in: str | Path, rows: DataFrame) -> Data
     where = F.regexp_replace("path", "^file:/+", "/")
     files = files.select(where.alias("_file"), "content")
     full = F.regexp_replace(F.concat(F.lit(f"{root}/"), F.col("path")), r"/(\./)+", "/")
-    return rows.withColumn("_file", F.regexp_replace(full, "/+", "/")).join(files, "_file", "left").drop("_file")
+    rows = rows.withColumn("_file", F.regexp_replace(full, "/+", "/"))
+    # Only names are read here; every listed file must have met one, however many are listed.
+    lost = rows.join(files.select("_file"), "_file", "left_anti").orderBy("row_no").select("path").first()
+    if lost:
+        raise HardError(f"{INDEX}: listed Original does not exist: {lost[0]}")
+    return rows.join(files, "_file").drop("_file")
 
 
 def recordings(read: DataFrame) -> DataFrame:

@@ -14,7 +14,7 @@ from cadenza.config import load_config
 from cadenza.errors import HardError
 from cadenza.operators import manifest, split
 from cadenza.plans import commands
-from cadenza.sources import records, wav
+from cadenza.sources import recordings, records, wav
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -110,6 +110,20 @@ def test_input_errors(spark, tmp_path, rows, files, message):
     assert not (tmp_path / "out").exists() and not (tmp_path / "out.tmp").exists()
 
 
+@pytest.mark.parametrize("named", [0, 2, 3, 5_000])
+def test_missing_file_at_any_size(spark, tmp_path, monkeypatch, named):
+    """A listed file that does not exist ends the build, however many files are listed before it."""
+    monkeypatch.setattr(recordings, "NAMED", named)
+    files = {f"{c}.wav": wav.encode(tone(f=300.0 + k)) for k, c in enumerate("abd")}
+    rows = [(f"{c}.wav", "p", f"s{c}", "t", "m", "e") for c in "abcde"]
+    root = source(tmp_path, rows, files)
+    with pytest.raises(HardError, match="does not exist: c.wav"):
+        commands.build(spark, root, tmp_path / "out")
+    for c in "ce":
+        (root / f"{c}.wav").write_bytes(wav.encode(tone(f=500.0 + ord(c))))
+    assert recordings.read_recordings(spark, root).count() == 5
+
+
 def test_index_header(spark, tmp_path):
     root = source(tmp_path, [], {})
     for text, message in ((HEADER.replace("device,", "") + "\n", "missing column(s): device"), (HEADER + ",z,b\n", "unexpected column(s): b, z"), ("", "is empty")):
@@ -209,6 +223,22 @@ def test_broken_runs(spark, tmp_path):
             records.read_run(spark, tmp_path)
 
 
+def test_line_numbers_over_many_splits(spark, tmp_path):
+    line = {"id": "a", "reference": "x", "hypothesis": None, "error": None, "split": "test", "session_id": "s", "speaker_id": "p", "prompt_id": "q", "device": "d", "environment": "e", "duration": 1, "long_form": False}
+    (tmp_path / records.RUN).write_text('{"record_line_count": 900}')
+    was = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16k")
+    try:
+        for at in (3, 450, 899):
+            lines = [json.dumps(line | {"id": f"r{k}"}) for k in range(900)]
+            lines[at - 1], lines[-1] = "  ", "{"  # a line of blanks is no empty line
+            (tmp_path / records.RECORD).write_text("\n".join(lines) + "\n")
+            with pytest.raises(HardError, match=f" line {at}:"):
+                records.read_run(spark, tmp_path)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", was)
+
+
 def test_preflight_lists_every_problem(spark, four, tmp_path):
     commands.build(spark, four, tmp_path / "out")
     (tmp_path / "out" / "dataset.json").write_text("[]")
