@@ -71,7 +71,7 @@ class MediaArchive(DataSource):
         return ArchiveReader(self.options)
 
     def writer(self, schema, overwrite: bool) -> DataSourceArrowWriter:
-        return ArchiveWriter(self.options)
+        return ArchiveWriter(self.options, overwrite)
 
 
 class ArchiveReader(DataSourceReader):
@@ -136,8 +136,9 @@ class ArchiveReader(DataSourceReader):
 class ArchiveWriter(DataSourceArrowWriter):
     """Writes rows (member, media)."""
 
-    def __init__(self, options: dict):
+    def __init__(self, options: dict, overwrite: bool = False):
         self.path, self.most = options["path"], int(options.get("archiveBytes", 256 << 20))
+        self.overwrite = overwrite
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> Archives:
         warnings.filterwarnings("ignore", message="Duplicate name")
@@ -165,10 +166,18 @@ class ArchiveWriter(DataSourceArrowWriter):
         return Archives(names)
 
     def commit(self, messages: list) -> None:
+        """Lists the new archives behind those that are there already; an overwrite lists only the new ones."""
         where, path = store(self.path)
         where.create_dir(path, recursive=True)
+        names = [n for m in messages if m for n in m.names]
+        if not self.overwrite:
+            try:
+                with where.open_input_stream(f"{path}/{MANIFEST}") as f:
+                    names = json.loads(f.read()) + names
+            except FileNotFoundError:
+                pass
         with where.open_output_stream(f"{path}/{MANIFEST}") as f:
-            f.write(json.dumps([n for m in messages if m for n in m.names]).encode())
+            f.write(json.dumps(names).encode())
 
     def abort(self, messages: list) -> None:
         where, path = store(self.path)

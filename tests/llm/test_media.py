@@ -90,3 +90,16 @@ def test_edges(spark, edge, empty, edge_rows):
     assert len(rows) == len(edge_rows)
     assert {r.member for r in rows} == {f"{d}.png" for d, *_ in edge_rows}
     assert media.members(spark, media.stored(empty)).count() == 0
+
+
+def test_appending_keeps_what_was_there(tmp_path, spark):
+    def add(rows, mode):
+        df = spark.createDataFrame(rows, "member string, media binary")
+        df.write.format("media_archive").option("path", str(tmp_path / "a")).mode(mode).save()
+
+    spark.dataSource.register(media.MediaArchive)
+    add([("1.png", b"one")], "append")
+    add([("2.png", b"two")], "append")
+    assert sorted(r.member for r in media.members(spark, str(tmp_path / "a")).collect()) == ["1.png", "2.png"]
+    add([("3.png", b"three")], "overwrite")
+    assert [r.member for r in media.members(spark, str(tmp_path / "a")).collect()] == ["3.png"]
