@@ -182,9 +182,10 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents that the mix takes, as often as it takes them."""
-    columns = docs.columns
-    base = docs.withColumn("_src", F.col("source").cast("string"))
-    plan = Mix(cut(sized(base, F.array("_src")).select("_pattern", "_size", "_class", "_bucket")))
-    taken = plan.copies(sized(base, F.array("_src"))).where("_copies > 0")
-    return taken.withColumn("_copy", F.explode(F.expr("sequence(1, _copies)"))).select(*[F.col(f"`{c}`") for c in columns])
+    """The documents that the mix takes, as often as it takes them. Columns of any name pass through; null texts have no words and are not taken."""
+    # One struct holds the row, so that no name clashes with its columns.
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "doc_id", F.col("text").cast("string").alias("text"), F.col("source").cast("string").alias("source"))
+    rows = sized(rows, F.array("source"))
+    plan = Mix(cut(rows.select("_pattern", "_size", "_class", "_bucket")))
+    taken = plan.copies(rows).where("_copies > 0").select("row", F.explode(F.expr("sequence(1, _copies)")))
+    return taken.select("row.*").select(*[F.col(f"`{c}`") for c in docs.columns])

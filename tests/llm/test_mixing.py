@@ -80,3 +80,12 @@ def test_edges(spark, edge, empty, edge_rows, tmp_path):
     kept = mixing.mixing_stage(spark, edge, "")
     assert kept.columns == edge.columns and kept.count() > 0
     assert mixing.mixing_stage(spark, empty, "").count() == 0
+
+
+def test_stage_keeps_columns_of_any_name(spark):
+    names = ["_pattern", "_size", "_class", "_bucket", "_src", "_copy", "_copies", "_key", "_full", "_cut", "row", "col", "a.b"]
+    rows = [(k, f"w {k} " * 5, f"s{k % 3}", *[f"{n}{k}" for n in names]) for k in range(60)]
+    df = spark.createDataFrame(rows, ["doc_id", "text", "source", *names])
+    kept = mixing.mixing_stage(spark, df, "")
+    assert kept.columns == df.columns
+    assert {tuple(r) for r in kept.collect()} <= set(rows)
