@@ -19,7 +19,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from cadenza.llm.frames import Buckets, table
+from cadenza.llm.frames import Buckets, table, written
 
 BITS, HALF = 64, 32
 LONGEST = 15
@@ -112,6 +112,8 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
     texts = rows.select(*own, F.explode(sides).alias("s")).select(*own, "s.side", "s.t")
     prints = with_fingerprints(texts, [*own, "side"], "t", "f")
     prints = prints.groupBy(*own).agg(F.max(F.when(F.col("side") == 0, F.col("f"))).alias("f"), F.max(F.when(F.col("side") == 1, F.col("f"))).alias("e"))
+    # Two branches read the prints.
+    prints = written(prints, "prints")
     nexts = prints.select(F.col("bucket").alias("next_bucket"), F.col("row").alias("next_row"), F.col("f").alias("next_f"))
     return prints.join(nexts, ["next_bucket", "next_row"], "left").select(
         "doc_id", "n_chars", "edited_sha256", hexadecimal(F.col("f")).alias("fingerprint"), hexadecimal(F.col("e")).alias("edited_fingerprint"), likeness(F.col("f"), F.col("e")).alias("near_edited"), likeness(F.col("f"), F.col("next_f")).alias("near_next")
