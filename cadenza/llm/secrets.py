@@ -80,27 +80,55 @@ def _found(df: DataFrame, kind: str, pattern: str, hint: Column, group: int | No
     return df.withColumn(f"at_{kind}", F.zip_with(F.arrays_zip(F.col(f"s_{kind}").alias("start"), F.col(f"m_{kind}").alias("found")), grouped, lambda a, g: F.struct(a["start"].alias("start"), a["found"].alias("found"), g.alias("part"))))
 
 
-def _f(count: Column) -> Column:
-    """count * log2(count), 0 for 0; a table of the WINDOW + 1 values."""
-    return F.element_at(F.lit([0.0] + [c * math.log2(c) for c in range(1, WINDOW + 1)]), count + 1)
+#: c * log2(c) for the counts of a window, in units of 2**-40, so that running sums are exact.
+_UNIT = 1 << 40
+_TERMS = [0] + [round(c * math.log2(c) * _UNIT) for c in range(1, WINDOW + 1)]
+#: Counts are packed: _BITS bits each, _PACKED to a 64-bit word, by code from _LOW ('+') to 'z'.
+_BITS, _PACKED, _LOW = 5, 12, 43
+_CELLS = -(-(123 - _LOW) // _PACKED)
+#: Codes of the window's places before its first character: the window is not whole, or just became so.
+_EARLY, _NONE = -2, -1
 
 
 def window_entropy(s: Column) -> Column:
-    """The largest Shannon entropy (bits a character) of any WINDOW characters in a row of ``s`` (at least WINDOW long)."""
-    count = lambda window, c: F.length(window) - F.length(F.replace(window, c, F.lit("")))
-    first = F.substr(s, F.lit(1), F.lit(WINDOW))
-    start = F.aggregate(F.array_distinct(F.split(first, "")), F.lit(0.0), lambda acc, c: acc + F.when(c == "", 0.0).otherwise(_f(count(first, c))))
-
-    def slide(acc: Column, i: Column) -> Column:
-        window, old, new = F.substr(s, i, F.lit(WINDOW)), F.substr(s, i, F.lit(1)), F.substr(s, i + WINDOW, F.lit(1))
-        a = count(window, old)
-        b = count(window, new) - (old == new).cast("int")
-        total = acc["sum"] - _f(a) + _f(a - 1) - _f(b) + _f(b + 1)
-        return F.struct(total.alias("sum"), F.least(acc["least"], total).alias("least"))
-
-    steps = F.when(F.length(s) > WINDOW, F.sequence(F.lit(1), F.length(s) - WINDOW)).otherwise(F.expr("cast(array() as array<int>)"))
-    least = F.aggregate(steps, F.struct(start.alias("sum"), start.alias("least")), slide, lambda acc: acc["least"])
-    return F.lit(math.log2(WINDOW)) - least / WINDOW
+    """The largest Shannon entropy (bits a character) of any WINDOW characters in a row of ``s`` (at least WINDOW characters of CANDIDATE long).
+
+    One fold over the characters: each step adds one to a count and takes one from
+    another, and changes only their two terms of the sum. Time and memory grow in proportion to ``s``.
+    """
+    terms, none = F.lit(_TERMS), F.lit(0).cast("long")
+    names = [f"c{k}" for k in range(_CELLS)]
+
+    def count(acc: Column, code: Column) -> Column:
+        word = F.get(F.array(*[acc[n] for n in names]), F.floor(code / _PACKED).cast("int"))
+        return F.call_function("shiftright", word, (code % _PACKED) * _BITS).bitwiseAND((1 << _BITS) - 1).cast("int")
+
+    def moved(acc: Column, code: Column, by: int) -> list[Column]:
+        step = F.call_function("shiftleft", F.lit(1).cast("long"), (code % _PACKED) * _BITS) * by
+        return [(acc[n] + F.when(F.floor(code / _PACKED) == k, step).otherwise(none)).alias(n) for k, n in enumerate(names)]
+
+    def slide(acc: Column, x: Column) -> Column:
+        n, gone, code = count(acc, x["old"]), x["old"] >= 0, x["new"]
+        less = F.when(gone, acc["sum"] - F.get(terms, n) + F.get(terms, n - 1)).otherwise(acc["sum"])
+        b = count(acc, code) - (gone & (x["old"] == code)).cast("int")
+        total = less + F.get(terms, b + 1) - F.get(terms, b)
+        down = [F.when(gone, c).otherwise(acc[k]).alias(k) for c, k in zip(moved(acc, x["old"], -1), names, strict=True)]
+        half = F.struct(*down)
+        best = F.when(x["old"] == _EARLY, acc["least"]).otherwise(F.least(acc["least"], total))
+        return F.struct(total.alias("sum"), best.alias("least"), *moved(half, code, 1))
+
+    codes = F.transform(F.split(s, "", -1), lambda c: F.ascii(c) - _LOW)
+    codes = F.filter(codes, lambda c: c >= 0)
+    before = F.lit([_EARLY] * (WINDOW - 1) + [_NONE])
+
+    def whole(codes: Column) -> Column:
+        steps = F.zip_with(codes, F.slice(F.concat(before, codes), F.lit(1), F.size(codes)), lambda new, old: F.struct(new.alias("new"), old.alias("old")))
+        start = F.struct(none.alias("sum"), F.lit(1 << 62).alias("least"), *[none.alias(n) for n in names])
+        return F.aggregate(steps, start, slide, lambda acc: acc["least"])
+
+    # The codes are bound once, as the element of an array.
+    least = F.get(F.transform(F.array(codes), whole), F.lit(0))
+    return F.lit(math.log2(WINDOW)) - least / float(WINDOW * _UNIT)
 
 
 def is_random(s: Column) -> Column:

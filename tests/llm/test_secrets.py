@@ -3,6 +3,7 @@ import math
 import random
 import re
 import string
+import time
 
 from cadenza.llm import secrets
 
@@ -100,3 +101,26 @@ def test_words_and_clean_documents_stay(spark):
     found = docs.select(secrets.F.explode(secrets.F.regexp_extract_all("text", secrets.F.lit(secrets.CANDIDATE), secrets.F.lit(0))).alias("w")).distinct()
     false = [r.w for r in found.where(secrets.is_random(secrets.F.col("w"))).collect() if not re.fullmatch("[0-9a-fA-F]+", r.w)]
     assert false == []
+
+
+def test_window_entropy_by_brute_force(spark):
+    rng = random.Random(5)
+    alphabet = string.ascii_letters + string.digits + "+/_-"
+    rows = [("".join(rng.choice(alphabet[: rng.choice([1, 2, 5, 16, 66])]) for _ in range(n)),) for n in (20, 21, 39, 40, 41, 100, 700) for _ in range(20)]
+
+    def brute(s):
+        windows = [s[i : i + 20] for i in range(len(s) - 19)]
+        return max(-sum(w.count(c) / 20 * math.log2(w.count(c) / 20) for c in set(w)) for w in windows)
+
+    df = spark.createDataFrame(rows, "w string")
+    for w, found in df.select("w", secrets.window_entropy(df.w)).collect():
+        assert abs(found - brute(w)) < 1e-9
+
+
+def test_long_lines_take_time_in_proportion(spark):
+    """A line of a million characters, of which the last twenty alone are random."""
+    df = spark.createDataFrame([(1, "ab" * 500_000 + "q7kX0zK3mW9xT5vB2nLp8Rs4"), (2, "ab" * 500_000)], "doc_id long, text string")
+    began = time.monotonic()
+    got = {r.doc_id: [s.end - s.start for s in r.spans if s.kind == "entropy"] for r in secrets.secret_spans(df).collect()}
+    assert got == {1: [1_000_024], 2: []}
+    assert time.monotonic() - began < 120
