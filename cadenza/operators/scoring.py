@@ -146,13 +146,3 @@ def character_errors(rows: DataFrame) -> DataFrame:
     """
     done = rows.where("hypothesis is not null")
     return done.withColumns({"errors": F.levenshtein("reference", "hypothesis").cast("long"), "n": F.length("reference").cast("long"), "sentence_error": (F.col("reference") != F.col("hypothesis")).cast("long")})
-
-
-def error_breakdowns(rows: DataFrame, axes: list[str]) -> DataFrame:
-    """(axis, value, samples, errors, n, sentence_errors, rate) of the whole and of each axis, in one GROUPING SETS pass."""
-    sums = rows.groupingSets([[], *[[a] for a in axes]], *axes).agg(F.count("*").alias("samples"), F.sum("errors").alias("errors"), F.sum("n").alias("n"), F.sum("sentence_error").alias("sentence_errors"), *[F.grouping(a).alias(f"_{a}") for a in axes])
-    axis, value = F.lit("all"), F.lit(None).cast("string")
-    for a in axes:
-        axis = F.when(F.col(f"_{a}") == 0, F.lit(a)).otherwise(axis)
-        value = F.when(F.col(f"_{a}") == 0, F.col(a).cast("string")).otherwise(value)
-    return sums.select(axis.alias("axis"), value.alias("value"), "samples", "errors", "n", "sentence_errors", F.try_divide(F.col("errors"), F.col("n")).alias("rate"))

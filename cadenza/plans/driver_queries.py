@@ -18,7 +18,7 @@ from cadenza.config import DEFAULTS, SPLITS
 from cadenza.functions import signal, text
 from cadenza.functions.serialization import json_line
 from cadenza.operators import manifest, quality, scoring, split
-from cadenza.sources.recordings import path_problem
+from cadenza.sources import recordings
 from cadenza.streaming.pooled import windowed_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -58,7 +58,9 @@ def prompt_identity(spark, sf_dir):
 
 @query("select sha256(text) as content_hash, min(doc_id) as doc_id, count(*) as copies, arg_min(source, doc_id) as source from documents where text is not null group by 1")
 def collapse_duplicates(spark, sf_dir):
-    return read(spark, sf_dir, "documents").where("text is not null").groupBy(F.sha2(F.col("text").cast("binary"), 256).alias("content_hash")).agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("copies"), F.min_by("source", "doc_id").alias("source"))
+    rows = read(spark, sf_dir, "documents").where("text is not null").select(F.sha2(F.col("text").cast("binary"), 256).alias("content_hash"), F.col("doc_id").alias("row_no"), "source")
+    copies = rows.groupBy("content_hash").agg(F.count("*").alias("copies"))
+    return recordings.collapsed(rows).join(copies, "content_hash").select("content_hash", F.col("row_no").alias("doc_id"), "copies", "source")
 
 
 @query("select sha256(text) as content_hash, count(distinct lang) as langs, count(distinct source) as sources from documents where text is not null group by 1 having count(distinct lang) > 1 or count(distinct source) > 1")
@@ -67,13 +69,23 @@ def conflict_report(spark, sf_dir):
     return groups.agg(F.count_distinct("lang").alias("langs"), F.count_distinct("source").alias("sources")).where("langs > 1 or sources > 1")
 
 
+@query("""
+with d as (select doc_id, sha256(text) as h, coalesce(lang, '') as lang, coalesce(source, '') as source from documents where text is not null),
+f as (select h, arg_min(lang, doc_id) as lang, arg_min(source, doc_id) as source, min(doc_id) as doc_id from d group by h)
+select f.doc_id as first_doc, d.doc_id as other_doc, case when d.lang <> f.lang then 'speaker_id' else 'session_id' end as field from d join f on f.h = d.h where d.lang <> f.lang or d.source <> f.source""")
+def conflicting_copies(spark, sf_dir):
+    """Documents as index rows: copies whose speaker (language) or session (source) disagrees with the first one's."""
+    rows = read(spark, sf_dir, "documents").where("text is not null").withColumns({"content_hash": F.sha2(F.col("text").cast("binary"), 256), "row_no": F.col("doc_id"), "path": F.lit(""), "recording_id": F.lit(""), "speaker_id": F.coalesce("lang", F.lit("")), "session_id": F.coalesce("source", F.lit("")), "prompt_text": F.lit(""), "device": F.lit(""), "environment": F.lit("")})
+    return recordings.conflicts(rows).select(F.col("a.row_no").alias("first_doc"), F.col("b.row_no").alias("other_doc"), "field")
+
+
 @query(r"""
 select page_id, case when url = '' then 'empty path'
   when contains(url, '\') then 'path is not POSIX (contains a backslash): ' || url
   when starts_with(url, '/') then 'path must be relative, not absolute: ' || url
   when list_contains(string_split(url, '/'), '..') then 'path escapes --data-in with ''..'': ' || url end as problem from pages""")
 def path_contract(spark, sf_dir):
-    return read(spark, sf_dir, "pages").select("page_id", path_problem(F.col("url")).alias("problem"))
+    return read(spark, sf_dir, "pages").select("page_id", recordings.path_problem(F.col("url")).alias("problem"))
 
 
 @query("select d.doc_id, d.source from documents d left join labels l on l.doc_id = d.doc_id where l.doc_id is null")
@@ -350,21 +362,27 @@ def alignment_sdi(spark, sf_dir):
     return found.select("id", "tier", *scoring.COUNTS, "sentence_error")
 
 
+def character_groups(spark: SparkSession, sf_dir: str, axes: list[str]) -> DataFrame:
+    """Breakdowns of the pairs by characters: all errors of a pair count as substitutions, for rates need their sum alone."""
+    rows = scoring.character_errors(pairs(spark, sf_dir)).withColumns({"tier": F.lit("as is"), **{c: F.lit(0).cast("long") for c in scoring.COUNTS}, "char_s": F.col("errors"), "char_n": F.col("n")})
+    return scoring.breakdowns(rows, {a: a for a in axes}).select("tier", "axis", "value", "samples", F.col("char_s").alias("errors"), F.col("char_n").alias("n"), "sentence_errors", "wer", "cer", "ser")
+
+
 @query(_GROUPS + "select samples, errors, n, sentence_errors, errors / nullif(n, 0)::double as rate from g where axis = 'all'")
 def pooled_rates(spark, sf_dir):
-    return scoring.error_breakdowns(scoring.character_errors(pairs(spark, sf_dir)), []).select("samples", "errors", "n", "sentence_errors", "rate")
+    return character_groups(spark, sf_dir, []).select("samples", "errors", "n", "sentence_errors", F.col("cer").alias("rate"))
 
 
 @query(_GROUPS + "select axis, value, samples, errors, n, sentence_errors, errors / nullif(n, 0)::double as rate from g")
 def breakdowns(spark, sf_dir):
-    return scoring.error_breakdowns(scoring.character_errors(pairs(spark, sf_dir)), ["session", "device"])
+    return character_groups(spark, sf_dir, ["session", "device"]).select("axis", "value", "samples", "errors", "n", "sentence_errors", F.col("cer").alias("rate"))
 
 
 @query(_GROUPS + ", r as (select axis, errors / nullif(n, 0)::double as x from g where axis <> 'all') select axis, cast(floor(avg(x) * 1000000) as bigint) as mean_e6, cast(floor(stddev_pop(x) * 1000000) as bigint) as stddev_e6, cast(floor(median(x) * 1000000) as bigint) as median_e6, count(*) filter (where x is null) as excluded_groups from r group by axis")
 def macro_stats(spark, sf_dir):
-    groups = scoring.error_breakdowns(scoring.character_errors(pairs(spark, sf_dir)), ["session", "device"]).where("axis <> 'all'")
-    millionths = lambda x: F.floor(x * 1000000).cast("long")
-    return groups.groupBy("axis").agg(millionths(F.avg("rate")).alias("mean_e6"), millionths(F.stddev_pop("rate")).alias("stddev_e6"), millionths(F.median("rate")).alias("median_e6"), F.count_if(F.col("rate").isNull()).alias("excluded_groups"))
+    millionths = lambda c: F.floor(F.col(c) * 1000000).cast("long").alias(f"{c}_e6")
+    found = scoring.macro(character_groups(spark, sf_dir, ["session", "device"])).where("rate = 'cer'")
+    return found.select("axis", millionths("mean"), millionths("stddev"), millionths("median"), "excluded_groups")
 
 
 @query(_PAIRS + "select count(*) as in_scope, count(hypothesis) as scored, count(*) filter (where hypothesis is null) as failed, count(*) filter (where long_form) as long_form from p")
@@ -394,6 +412,23 @@ def paired_delta(spark, sf_dir):
     return a.join(b, "id").withColumn("delta", F.col("errors_b") - F.col("errors_a"))
 
 
+@query(_PAIRS + """, r as (select id, errors / nullif(n, 0)::double as cer_a, cast(levenshtein(reference, upper(hypothesis)) as bigint) / nullif(n, 0)::double as cer_b from e)
+select id, cer_a, cer_b, cer_b - cer_a as cer_delta from r""")
+def paired_rates(spark, sf_dir):
+    rows = pairs(spark, sf_dir).select("id", "reference", "hypothesis")
+    a, b = (scoring.scored(x, {"as is": str}) for x in (rows, rows.withColumn("hypothesis", F.upper("hypothesis"))))
+    return scoring.paired_delta(a, b).select("id", "cer_a", "cer_b", "cer_delta")
+
+
+@query(_PAIRS + "select id, case when turn < 6 then reference end as recorded, case when turn > 0 then case when turn % 4 = 0 then upper(reference) else reference end end as manifest from p where turn >= 6 or turn = 0 or (turn % 4 = 0 and upper(reference) <> reference)")
+def reference_mismatch(spark, sf_dir):
+    """A record without later turns against a manifest without first turns and with some references in capitals."""
+    rows = pairs(spark, sf_dir)
+    record = rows.where("turn < 6").select("id", "reference")
+    manifest_of = rows.where("turn > 0").select("id", F.when(F.col("turn") % 4 == 0, F.upper("reference")).otherwise(F.col("reference")).alias("text"))
+    return scoring.reference_mismatches(record, manifest_of).select("id", "recorded", "manifest")
+
+
 @query(_PAIRS + "select 'a' as side, id, reference from p where turn >= 4 union all select 'b' as side, id, reference || '.' as reference from p where turn >= 4")
 def masked_equality(spark, sf_dir):
     a = pairs(spark, sf_dir).select("id", "reference", "hypothesis", F.lit(None).cast("string").alias("error"), "turn")
