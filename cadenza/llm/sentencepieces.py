@@ -161,12 +161,15 @@ def widths(symbols: np.ndarray) -> np.ndarray:
 
 
 class Store:
-    """Lattices of the units seen so far, up to MOST characters; those of later units are made for one slice."""
+    """Lattices of the units seen so far, up to MOST characters; those of later units are made for one slice.
 
-    MOST = 1_000_000
+    Their tables lie behind the kept ones and are written over by the next slice, so no slice copies what is kept.
+    """
+
+    MOST = 1 << 19
 
     def __init__(self, vocabulary: Vocabulary):
-        self.vocabulary = vocabulary
+        self.vocabulary, self.held = vocabulary, 0
         self.hashes, self.places = np.empty(0, np.uint64), np.empty(0, np.int64)
         self.until = np.empty((0, vocabulary.longest), np.float32)
         self.piece = np.empty((0, vocabulary.longest), np.int32)
@@ -177,20 +180,28 @@ class Store:
         known = self.hashes[at] == hashes if len(self.hashes) else np.zeros(len(hashes), bool)
         fresh = np.flatnonzero(~known)
         sizes = lengths[fresh]
-        base = np.cumsum(sizes) - sizes
-        made = Lattices(x[np.arange(int(sizes.sum())) + np.repeat(starts[fresh] - base, sizes)], sizes, self.vocabulary)
-        held = len(self.until)
+        ends = np.cumsum(sizes)
+        made = Lattices(x[np.arange(int(sizes.sum())) + np.repeat(starts[fresh] - ends + sizes, sizes)], sizes, self.vocabulary)
+        n = len(made.until)
+        if self.held + n > len(self.until):
+            room = max(self.held + n, min(2 * len(self.until), self.MOST))
+            for name in ("until", "piece"):
+                old = getattr(self, name)
+                new = np.empty((room, old.shape[1]), old.dtype)
+                new[: self.held] = old[: self.held]
+                setattr(self, name, new)
+        self.until[self.held : self.held + n], self.piece[self.held : self.held + n] = made.until, made.piece
+        made.until, made.piece = self.until, self.piece
         places = np.empty(len(hashes), np.int64)
-        places[fresh] = held + made.first
+        places[fresh] = self.held + made.first
         if known.any():
             places[known] = self.places[at[known]]
-        if held:
-            made.until, made.piece = np.concatenate((self.until, made.until)), np.concatenate((self.piece, made.piece))
-        if held < self.MOST:
-            self.until, self.piece = made.until, made.piece
-            self.hashes = np.concatenate((self.hashes, hashes[fresh]))
+        kept = int(np.searchsorted(ends, self.MOST - self.held, side="right"))
+        if kept:
+            self.held += int(ends[kept - 1])
+            self.hashes = np.concatenate((self.hashes, hashes[fresh[:kept]]))
             order = np.argsort(self.hashes)
-            self.places = np.concatenate((self.places, places[fresh]))[order]
+            self.places = np.concatenate((self.places, places[fresh[:kept]]))[order]
             self.hashes = self.hashes[order]
         return made, places
 
@@ -258,7 +269,7 @@ def _encoded(batches: Iterator[pa.RecordBatch], path: str | None, alpha: float,
         path = public_tokenizers.path("piece_bpe_32k.model")
     vocabulary = own.Vocabulary(path, alpha)
     store = own.Store(vocabulary)
-    for batch in own.pieces(batches, 2 << 20):
+    for batch in own.pieces(batches, 1 << 20):
         texts = batch.column("text").to_pylist()
         keys = batch.column("doc_id").fill_null(-1).to_numpy(zero_copy_only=False).view(np.uint64)
         ids, first = own.sampled(texts, keys, store, seed)
