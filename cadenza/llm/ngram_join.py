@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cadenza.llm.frames import SALT, components, cut, written
-from cadenza.llm.textkit import Words, distinct, mixed, shingles
+from cadenza.llm.textkit import Words, distinct, frugal, mixed, shingles
 
 #: Fewest n-grams of a block that says much.
 RICH = 2
@@ -182,13 +182,15 @@ def folded(sketch: bytes, width: int) -> np.ndarray:
 
 
 def pieces(batches: Iterator[pa.RecordBatch], most: int = 8 << 20) -> Iterator[pa.RecordBatch]:
-    """Slices of about ``most`` bytes, to bound the memory of wide batches."""
+    """Slices of about ``most`` bytes, to bound the memory of wide batches; before and after all, the worker gives free memory back."""
+    frugal()
     for batch in batches:
         if not batch.num_rows:
             continue
         step = max(1, int(batch.num_rows * most / max(batch.nbytes, 1)))
         for at in range(0, batch.num_rows, step):
             yield batch.slice(at, step)
+    frugal()
 
 
 class Sets:

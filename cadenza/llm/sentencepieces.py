@@ -269,7 +269,7 @@ def _encoded(batches: Iterator[pa.RecordBatch], path: str | None, alpha: float,
         path = public_tokenizers.path("piece_bpe_32k.model")
     vocabulary = own.Vocabulary(path, alpha)
     store = own.Store(vocabulary)
-    for batch in own.pieces(batches, 1 << 20):
+    for batch in own.pieces(batches, 1 << 18):
         texts = batch.column("text").to_pylist()
         keys = batch.column("doc_id").fill_null(-1).to_numpy(zero_copy_only=False).view(np.uint64)
         ids, first = own.sampled(texts, keys, store, seed)

@@ -128,3 +128,20 @@ def distinct(values: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndar
         counts[i + 1] = len(own)
         kept.append(own)
     return (np.concatenate(kept) if kept else values[:0]), np.cumsum(counts)
+
+
+def frugal() -> None:
+    """Freed arrays of 1 MB and more go back to the system at once, and what is free already goes back now.
+
+    Spark keeps idle workers, so what one operator leaves in a worker adds to what the next needs. Where the C
+    library has no such settings, nothing happens.
+    """
+    import ctypes
+
+    c = ctypes.CDLL(None)
+    if hasattr(c, "mallopt"):
+        c.mallopt(-3, 1 << 20)  # M_MMAP_THRESHOLD; setting it also ends its growth with each array freed
+        c.mallopt(-1, 4 << 20)  # M_TRIM_THRESHOLD
+    if hasattr(c, "malloc_trim"):
+        c.malloc_trim(0)
+    pa.default_memory_pool().release_unused()
