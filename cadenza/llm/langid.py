@@ -108,15 +108,16 @@ def _bundles(batches: Iterator[pa.RecordBatch], dims: int, n: int) -> Iterator[p
     from cadenza.llm import langid as own
 
     table, sums = own._is_letter(), {}
-    for batch in own.pieces(batches):
+    for batch in own.pieces(batches, 2 << 20):
         grams = own.Grams(batch.column("text").to_pylist(), table, n)
         langs, at = np.unique(np.array(batch.column("lang").to_pylist(), dtype=object), return_inverse=True)
         for k, lang in enumerate(langs):
             codes, counts = own.counted(grams.codes[at[grams.doc] == k], grams.size**n)
             total = sums.setdefault(lang, np.zeros(dims, np.int64))
-            for lo in range(0, len(codes), 8192):
-                # float64 holds these integers exactly
-                total += np.rint(counts[lo : lo + 8192].astype(np.float64) @ grams.vectors(codes[lo : lo + 8192], dims).astype(np.float64)).astype(np.int64)
+            # Both kinds hold the sums exactly.
+            kind = np.float32 if counts.sum() < 1 << 24 else np.float64
+            for lo in range(0, len(codes), 2048):
+                total += np.rint(counts[lo : lo + 2048].astype(kind) @ grams.vectors(codes[lo : lo + 2048], dims).astype(kind)).astype(np.int64)
     if sums:
         yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.string()), pa.array([v.tolist() for v in sums.values()], pa.list_(pa.int64()))], names=["lang", "v"])
 
@@ -162,8 +163,8 @@ def scores(texts: list[str | None], prototypes: Prototypes, is_letter: np.ndarra
         rows = min(block, len(texts) - k * block)
         counts = np.bincount((grams.doc[lo:hi] - k * block) * len(own) + where, minlength=rows * len(own)).reshape(rows, len(own)).astype(np.float32)
         bundle = np.zeros((rows, dims), np.float32)
-        for c in range(0, len(own), 16384):
-            bundle += counts[:, c : c + 16384] @ vectors[own[c : c + 16384]].astype(np.float32)
+        for c in range(0, len(own), 4096):
+            bundle += counts[:, c : c + 4096] @ vectors[own[c : c + 4096]].astype(np.float32)
         norm = np.linalg.norm(bundle, axis=1)
         cosines = bundle @ prototypes.vectors.T / np.where(norm > 0, norm, 1)[:, None]
         lettered = grams.with_letters[k * block : k * block + rows]
@@ -177,7 +178,7 @@ def _predict(batches: Iterator[pa.RecordBatch], prototypes: Prototypes, named: t
     from cadenza.llm import langid as own
 
     is_letter, langs = own._is_letter(), np.array([*prototypes.langs, own.UNKNOWN], dtype=object)
-    for batch in own.pieces(batches, 4 << 20):
+    for batch in own.pieces(batches, 1 << 20):
         best, score = own.scores(batch.column("text").to_pylist(), prototypes, is_letter)
         names = [c for c in batch.schema.names if c not in named]
         yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(langs[best].tolist(), pa.string()), pa.array(score, pa.float64())], names=[*names, *named])
